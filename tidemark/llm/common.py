@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """The place of a public tokenizer's file, the same on all machines."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)

@@ -2,18 +2,48 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from .bitplane import read_ids, write_ids
+from .chat_format import digests, expand_prefixes
+from .common import shared_dir, spill, table, tokenizer_path
+from .decontaminate import HIT_WORDS, scan
 from .jaccard_join import jaccard_components
+from .packing import pack
+
+
+def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    to = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    write_ids(table(spark, sf_dir, "documents"), to, tokenizer_path("byte_bpe_50k.json"))
+    return read_ids(spark, to).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return digests(spill(expand_prefixes(turns), "examples"))
+
+
+def op6_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    hit = F.expr(HIT_WORDS)
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
