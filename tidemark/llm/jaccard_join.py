@@ -36,6 +36,8 @@ LONGEST = 4
 STAR_KEYS = 6
 VERIFY_COST = 50
 ENTRIES_PER_BUCKET = 1_000_000
+#: Sizes and shingles that others have too leave room for the overlap that a link needs.
+POSSIBLE = "100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b) and 7 * least(live_a, live_b) >= 3 * (size_a + size_b)"
 
 
 def needed(size):
@@ -244,10 +246,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     live = live_prefixes(docs, above, entries, "text", width)
     live = spill(live.join(classes.select("class", "rep"), "class").drop("class"), "live")
 
-    keys = live.select("rep", F.expr("named_struct('full', live / size, 'rep', -rep)").alias("rank"), F.explode(F.slice("tokens", 1, STAR_KEYS)).alias("token"))
+    keys = live.select("rep", "size", "live", F.expr("named_struct('full', live / size, 'rep', -rep, 'size', size, 'live', live)").alias("rank"), F.explode(F.slice("tokens", 1, STAR_KEYS)).alias("token"))
     keys = spill(keys, "keys")
-    leader = spill(keys.groupBy("token").agg(F.max("rank").alias("rank"), F.count("*").alias("members")).where("members > 1").select("token", F.expr("-rank.rep").alias("b")), "leaders")
-    first = keys.select("token", F.col("rep").alias("a")).join(leader, "token").where("a <> b").select("a", "b").distinct()
+    leader = keys.groupBy("token").agg(F.max("rank").alias("rank"), F.count("*").alias("members")).where("members > 1")
+    leader = spill(leader.select("token", F.expr("-rank.rep").alias("b"), F.col("rank.size").alias("size_b"), F.col("rank.live").alias("live_b")), "leaders")
+    first = keys.selectExpr("token", "rep as a", "size as size_a", "live as live_a").join(leader, "token").where(f"a <> b and {POSSIBLE}").select("a", "b").distinct()
     reps = docs.where("doc_id is not null")
     # the smallest id of a class may stand in several rows; only one of them may be of this class
     edges = spill(verified(first, reps, width).distinct(), "links")
@@ -259,8 +262,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     entry = spill(entry.join(mixed, "token"), "mixed")
     x, y = (entry.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "comp", "size", "best", "live", "level"))) for s in "ab")
     pairs = x.join(y, "token").where(
-        "rep_a < rep_b and comp_a <> comp_b and 100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b)"
-        " and 7 * least(live_a, live_b) >= 3 * (size_a + size_b) and greatest(level_a, level_b) <= least(best_a, best_b)"
+        f"rep_a < rep_b and comp_a <> comp_b and {POSSIBLE} and greatest(level_a, level_b) <= least(best_a, best_b)"
     )
     pairs = pairs.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).agg(F.count("*").alias("shared"), F.max(F.least("best_a", "best_b")).alias("need")).where("shared >= need").select("a", "b")
     pairs = spill(pairs, "pairs")
