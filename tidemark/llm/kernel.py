@@ -158,31 +158,69 @@ def rows_of(rows: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(rows) - 1), np.diff(rows))
 
 
-class MemoTokenizer:
+class Memo:
+    """Values of text segments, each computed once; a segment's value is a run of unsigned integers.
+
+    Segments are told apart by a 64-bit hash. At `capacity` kept segments the memory starts anew.
+    """
+
+    SLOTS = 1 << 22
+
+    def __init__(self, capacity: int = 2_500_000, fold: np.ndarray = SAME):
+        self.capacity, self.fold = capacity, fold
+        self.clear()
+
+    def clear(self):
+        self.keys, self.slot = np.zeros(self.SLOTS, _U), np.full(self.SLOTS, -1, np.int32)
+        self.first, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def compute(self, texts: list[str]) -> list[list[int]]:
+        raise NotImplementedError
+
+    def entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The segments' places in `first` and `size`, valid until the next call."""
+        if len(self.first) > self.capacity:
+            self.clear()
+        keys = span_hashes(data, starts, ends, self.fold)
+        place = (keys & _U(self.SLOTS - 1)).astype(np.int64)
+        entry = np.where(self.keys[place] == keys, self.slot[place], -1).astype(np.int64)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            new, at, back = np.unique(keys[missing], return_index=True, return_inverse=True)
+            raw = self.fold[data].tobytes() if self.fold is not SAME else data.tobytes()
+            at = missing[at]
+            values = self.compute([raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[at], ends[at], strict=True)])
+            size = np.fromiter(map(len, values), np.int64, len(values))
+            flat = np.fromiter((i for ids in values for i in ids), np.uint32, int(size.sum()))
+            base = len(self.first)
+            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
+            self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, flat])
+            entry[missing] = base + back
+            where, one = np.unique((new & _U(self.SLOTS - 1)).astype(np.int64), return_index=True)  # of two new keys of one place one stays
+            self.keys[where], self.slot[where] = new[one], base + one
+        return entry
+
+
+class MemoTokenizer(Memo):
     """Exact ids of a public tokenizer, with the ids of recurring text segments kept.
 
     A text is cut only where the tokenizer's own pre-tokenizer always cuts, so the ids of a text
     are those of its segments one after another. `kind` "word" (white space is dropped by the
     tokenizer) cuts at ASCII white space; "byte" (white space belongs to tokens) cuts before a
-    space, and around a lone line feed, that stands before a visible character. Each distinct
-    segment goes through the library once; segments are told apart by a 64-bit hash. At
-    `capacity` kept segments the memory starts anew.
+    space, and around a lone line feed, that stands before a visible character.
     """
 
-    SLOTS = 1 << 22
-
-    def __init__(self, path: str, kind: str, capacity: int = 2_500_000):
+    def __init__(self, path: str, kind: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind, self.capacity = Tokenizer.from_file(path), kind, capacity
-        self.clear()
+        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        super().__init__()
 
-    def clear(self):
-        self.keys, self.slot = np.zeros(self.SLOTS, _U), np.full(self.SLOTS, -1, np.int32)
-        self.first, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    def compute(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def segments(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.kind == "word":
@@ -202,31 +240,10 @@ class MemoTokenizer:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and row offsets into them."""
         starts, ends, rows = self.segments(data, offsets)
-        if len(self.first) > self.capacity:
-            self.clear()
-        keys = span_hashes(data, starts, ends, SAME)
-        place = (keys & _U(self.SLOTS - 1)).astype(np.int64)
-        entry = np.where(self.keys[place] == keys, self.slot[place], -1).astype(np.int64)
-        missing = np.flatnonzero(entry < 0)
-        if len(missing):
-            new, at, back = np.unique(keys[missing], return_index=True, return_inverse=True)
-            raw = data.tobytes() if len(missing) > 64 else None
-            at = missing[at]
-            texts = [(raw[a:b] if raw is not None else data[a:b].tobytes()).decode("utf-8", "replace") for a, b in zip(starts[at], ends[at], strict=True)]
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            size = np.fromiter(map(len, coded), np.int64, len(coded))
-            flat = np.fromiter((i for ids in coded for i in ids), np.uint32, int(size.sum()))
-            base = len(self.first)
-            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-            self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, flat])
-            entry[missing] = base + back
-            where = (new & _U(self.SLOTS - 1)).astype(np.int64)
-            where, one = np.unique(where, return_index=True)  # of two new keys of one place one stays
-            self.keys[where], self.slot[where] = new[one], base + one
+        entry = self.entries(data, starts, ends)
         size = self.size[entry]
         ids = self.ids[expand(self.first[entry], size)]
-        ends_ids = np.concatenate([[0], np.cumsum(size)])
-        return ids, ends_ids[rows]
+        return ids, np.concatenate([[0], np.cumsum(size)])[rows]
 
 
 _TOKENIZERS: dict[tuple[str, str], MemoTokenizer] = {}
