@@ -12,10 +12,23 @@ from .bitplane import read_ids, write_ids
 from .chat_format import digests, expand_prefixes
 from .common import shared_dir, spill, table, tokenizer_path
 from .decontaminate import HIT_WORDS, scan
+from .int8_tiles import cosine_components
 from .jaccard_join import jaccard_components
+from .language_id import identify, train
 from .packing import pack
 
 
+def remainder(divisor: int, column: str = "doc_id"):
+    """crc32 of the id as text, modulo the divisor."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
+
+
+def op2_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = train(docs, F.coalesce(remainder(4) != 2, F.lit(False)))
+    return identify(docs.select("doc_id", "text"), network).select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     to = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
     write_ids(table(spark, sf_dir, "documents"), to, tokenizer_path("byte_bpe_50k.json"))
@@ -38,6 +51,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cosine_components(table(spark, sf_dir, "embeddings"))
+
+
 def op10_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     hit = F.expr(HIT_WORDS)
