@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import toxicity
 from .bitplane import read_ids, write_ids
 from .chat_format import digests, expand_prefixes
 from .common import shared_dir, spill, table, tokenizer_path
@@ -29,6 +30,13 @@ def op2_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text"), network).select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op3_levenshtein_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.train(docs, table(spark, sf_dir, "labels"), lambda c: F.coalesce(remainder(3, c) != 1, F.lit(False)))
+    scored = toxicity.score(docs, lexicon)
+    return scored.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     to = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
     write_ids(table(spark, sf_dir, "documents"), to, tokenizer_path("byte_bpe_50k.json"))
