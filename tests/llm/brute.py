@@ -148,3 +148,19 @@ def op10(docs, items, window=10):
                     found |= own
         out[doc] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest(), bool(hit))
     return out
+
+
+def repeated_words(rows, size=50):
+    """doc -> words inside a run of `size` words that a document of smaller id has too."""
+    first, split = {}, {doc: words(text) for doc, text in rows}
+    for doc in sorted(split):
+        for i in range(len(split[doc]) - size + 1):
+            first.setdefault(tuple(split[doc][i : i + size]), doc)
+    out = {}
+    for doc, w in split.items():
+        hit = set()
+        for i in range(len(w) - size + 1):
+            if first[tuple(w[i : i + size])] < doc:
+                hit.update(range(i, i + size))
+        out[doc] = hit
+    return out

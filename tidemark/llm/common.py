@@ -33,13 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def spill(df: DataFrame, name: str) -> DataFrame:
+def spill(df: DataFrame, name: str, row_group: int = 32 << 20) -> DataFrame:
     """`df` written as a table in the shared folder and read again: lineage ends here, and a lost
     executor costs nothing that came before. The JVM is asked to collect garbage, so that Spark
-    drops the shuffle files that led here. The folder's owner removes the tables."""
+    drops the shuffle files that led here. Row groups of at most `row_group` bytes bound a writer's
+    memory. The folder's owner removes the tables."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", row_group).parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

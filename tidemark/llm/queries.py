@@ -17,6 +17,7 @@ from .int8_tiles import cosine_components
 from .jaccard_join import jaccard_components
 from .language_id import identify, train
 from .packing import pack
+from .substring_dedup import repeated_passages
 
 
 def remainder(divisor: int, column: str = "doc_id"):
@@ -24,6 +25,10 @@ def remainder(divisor: int, column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+def op1_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     network = train(docs, F.coalesce(remainder(4) != 2, F.lit(False)))
@@ -47,7 +52,7 @@ def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return digests(spill(expand_prefixes(turns), "examples"))
+    return digests(spill(expand_prefixes(turns), "examples", row_group=16 << 20))
 
 
 def op6_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
