@@ -36,8 +36,9 @@ LONGEST = 4
 STAR_KEYS = 6
 VERIFY_COST = 50
 ENTRIES_PER_BUCKET = 1_000_000
-#: Sizes and shingles that others have too leave room for the overlap that a link needs.
-POSSIBLE = "100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b) and 7 * least(live_a, live_b) >= 3 * (size_a + size_b)"
+#: Sizes, shingles that others have too, and parity bitmaps (two sets differ in as many shingles as
+#: bits at least) leave room for the overlap that a link needs, 3 / 7 of both sizes together.
+POSSIBLE = "100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b) and 7 * least(live_a, live_b) >= 3 * (size_a + size_b) and " + "7 * ({}) <= size_a + size_b".format(" + ".join(f"bit_count(bits{k}_a ^ bits{k}_b)" for k in range(8)))
 
 
 def needed(size):
@@ -63,24 +64,32 @@ def class_key(found: np.ndarray) -> int:
     return int(total.astype(np.int64)) or 1
 
 
-_PROFILE = "doc_id long, n int, class long, slots int, counts binary"
+#: Longs of a set's parity bitmap: bit k tells whether an odd number of its hashes fall on k.
+BITS = 8
+_BITS = [f"bits{k}" for k in range(BITS)]
+_PROFILE = "doc_id long, n int, class long, slots int, counts binary, " + ", ".join(f"{b} long" for b in _BITS)
+
+
+def parity(found: np.ndarray) -> np.ndarray:
+    return np.packbits((np.bincount((found & _U(64 * BITS - 1)).astype(np.int64), minlength=64 * BITS) & 1).astype(np.uint8)).view(np.int64)
 
 
 def _profile(width: int):
     def run(batches):
         counts = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in batches:
-            size, key = [], []
+            size, key, bits = [], [], [np.zeros((0, BITS), np.int64)]
             for found in document_sets(batch.column(1), width):
                 size.append(len(found))
                 key.append(class_key(found))
+                bits.append(parity(found)[None])
                 np.add.at(counts, (found >> _U(64 - SLOT_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(size))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), pa.array(key, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], ["doc_id", "n", "class", "slots", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), pa.array(key, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary()), *(pa.array(x) for x in np.concatenate(bits).T)], ["doc_id", "n", "class", "slots", "counts", *_BITS])
         pieces = [(k, counts[k * SLOT_PIECE : (k + 1) * SLOT_PIECE]) for k in range(len(counts) // SLOT_PIECE)]
         pieces = [(k, x.tobytes()) for k, x in pieces if x.any()]
         none = pa.nulls(len(pieces))
-        yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), pa.array([k for k, _ in pieces], pa.int32()), pa.array([x for _, x in pieces], pa.binary())], ["doc_id", "n", "class", "slots", "counts"])
+        yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), pa.array([k for k, _ in pieces], pa.int32()), pa.array([x for _, x in pieces], pa.binary()), *[none.cast(pa.int64())] * BITS], ["doc_id", "n", "class", "slots", "counts", *_BITS])
 
     return run
 
@@ -95,7 +104,7 @@ def _sum_counts(batches):
 
 
 def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> tuple[DataFrame, np.ndarray]:
-    """Rows (doc_id, n, class), written; and how far above the mean each slot's count stands.
+    """Rows (doc_id, n, class and the parity bitmap), written; and how far above the mean each slot's count stands.
 
     The counts cover all documents; their table has 2**SLOT_BITS slots at any input size, so what
     the driver takes in and sends out again is 2 MB. Slots below the noise of the mean count as 0.
@@ -107,7 +116,7 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         counts[k * SLOT_PIECE : (k + 1) * SLOT_PIECE] = np.frombuffer(x, np.uint64)
     mean = np.median(counts)
     above = counts - mean
-    return both.where("slots is null").select("doc_id", "n", "class"), np.where(above >= max(64, 8 * np.sqrt(mean)), above, 0)
+    return both.where("slots is null").drop("slots", "counts"), np.where(above >= max(64, 8 * np.sqrt(mean)), above, 0)
 
 
 def ordered_prefix(found: np.ndarray, above: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
@@ -241,26 +250,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows, above = profile(docs, "doc_id", "text", width)
-    classes = spill(rows.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
+    classes = spill(rows.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), *(F.max(b).alias(b) for b in _BITS)), "classes")
     entries = classes.agg(F.sum("n")).first()[0] or 0
     live = live_prefixes(docs, above, entries, "text", width)
-    live = spill(live.join(classes.select("class", "rep"), "class").drop("class"), "live")
+    live = spill(live.join(classes.drop("n"), "class").drop("class"), "live")
 
-    keys = live.select("rep", "size", "live", F.expr("named_struct('full', live / size, 'rep', -rep, 'size', size, 'live', live)").alias("rank"), F.explode(F.slice("tokens", 1, STAR_KEYS)).alias("token"))
+    keys = live.select("rep", "size", "live", *_BITS, F.expr(f"named_struct('full', live / size, 'rep', -rep, 'size', size, 'live', live, {', '.join(f'{chr(39)}{b}{chr(39)}, {b}' for b in _BITS)})").alias("rank"), F.explode(F.slice("tokens", 1, STAR_KEYS)).alias("token"))
     keys = spill(keys, "keys")
     leader = keys.groupBy("token").agg(F.max("rank").alias("rank"), F.count("*").alias("members")).where("members > 1")
-    leader = spill(leader.select("token", F.expr("-rank.rep").alias("b"), F.col("rank.size").alias("size_b"), F.col("rank.live").alias("live_b")), "leaders")
-    first = keys.selectExpr("token", "rep as a", "size as size_a", "live as live_a").join(leader, "token").where(f"a <> b and {POSSIBLE}").select("a", "b").distinct()
+    leader = spill(leader.select("token", F.expr("-rank.rep").alias("b"), F.col("rank.size").alias("size_b"), F.col("rank.live").alias("live_b"), *(F.col(f"rank.{b}").alias(f"{b}_b") for b in _BITS)), "leaders")
+    first = keys.selectExpr("token", "rep as a", "size as size_a", "live as live_a", *(f"{b} as {b}_a" for b in _BITS)).join(leader, "token").where(f"a <> b and {POSSIBLE}").select("a", "b").distinct()
     reps = docs.where("doc_id is not null")
     # the smallest id of a class may stand in several rows; only one of them may be of this class
     edges = spill(verified(first, reps, width).distinct(), "links")
     linked = spill(components(edges), "linked")
 
-    entry = live.join(linked, live.rep == linked.node, "left").select("rep", F.coalesce("component", "rep").alias("comp"), "size", "best", "live", F.explode(F.arrays_zip("tokens", "levels")).alias("x"))
-    entry = entry.select("rep", "comp", "size", "best", "live", F.col("x.tokens").alias("token"), F.col("x.levels").alias("level"))
+    entry = live.join(linked, live.rep == linked.node, "left").select("rep", F.coalesce("component", "rep").alias("comp"), "size", "best", "live", *_BITS, F.explode(F.arrays_zip("tokens", "levels")).alias("x"))
+    entry = entry.select("rep", "comp", "size", "best", "live", *_BITS, F.col("x.tokens").alias("token"), F.col("x.levels").alias("level"))
     mixed = entry.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
     entry = spill(entry.join(mixed, "token"), "mixed")
-    x, y = (entry.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "comp", "size", "best", "live", "level"))) for s in "ab")
+    x, y = (entry.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "comp", "size", "best", "live", "level", *_BITS))) for s in "ab")
     pairs = x.join(y, "token").where(
         f"rep_a < rep_b and comp_a <> comp_b and {POSSIBLE} and greatest(level_a, level_b) <= least(best_a, best_b)"
     )
