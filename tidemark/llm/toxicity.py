@@ -10,6 +10,7 @@ inside quotation marks, or after a word of reporting, counts less than plain abu
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .kernel import ALNUM, LOWER, Memo, row_blocks, text_buffer, word_bounds
 
-#: Bounds of the training sample: documents of each label.
-DOCS_PER_LABEL = 4000
+#: Bounds of the training sample: documents of label 0 and of label 1.
+DOCS_PER_LABEL = (4000, 2000)
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 LEAST_SHARE = 0.6
 #: A misspelling counts as PRIOR until labelled texts that hold one say otherwise; the prior weighs as much as PRIOR_DOCS of them.
@@ -50,15 +51,17 @@ class Trie:
             self.term[self._add(word, reach(word))] = k
         for k, stem in enumerate(stems, len(words)):
             self.stem[self._add(stem, 0)] = k
-        # one edit leaves one of two pieces of a term as it was, two edits one of three
-        self.pieces = sorted({piece for w in words if reach(w) for piece in self._pieces(w, reach(w) + 1)})
-        sizes = [len(w) + d for w in words for d in (-reach(w), reach(w))]
-        self.sizes = range(min(sizes, default=0), max(sizes, default=-1) + 1)
-
-    @staticmethod
-    def _pieces(word: str, n: int) -> list[str]:
-        cut = [len(word) * k // n for k in range(n + 1)]
-        return [word[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+        # One edit leaves the first or the last half of a term as it was; two edits leave one of three
+        # pieces, the middle one moved by two places at most. By length: what a misspelling looks like.
+        parts: dict[int, list[str]] = {}
+        for word in words:
+            if d := reach(word):
+                cut = [len(word) * k // (d + 1) for k in range(d + 2)]
+                pieces = [word[x:y] for x, y in zip(cut, cut[1:], strict=False)]
+                forms = [f"^{re.escape(pieces[0])}", f"{re.escape(pieces[-1])}$", *(f"^.{{{max(0, x - d)},{x + d}}}{re.escape(p)}" for x, p in zip(cut[1:], pieces[1:-1], strict=False))]
+                for size in range(len(word) - d, len(word) + d + 1):
+                    parts.setdefault(size, []).extend(forms)
+        self.looks = {size: re.compile("|".join(dict.fromkeys(forms))).search for size, forms in parts.items()}
 
     def _add(self, word: str, limit: int) -> int:
         node = 0
@@ -107,7 +110,8 @@ class Trie:
         k = self.exact(word)
         if k >= 0:
             return k, 0
-        if len(word) not in self.sizes or word in known or not any(p in word for p in self.pieces):
+        look = self.looks.get(len(word))
+        if look is None or not look(word) or word in known:
             return -1, 0
         return self.near(word)
 
@@ -204,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, chosen, id_col: str = "doc_id", te
     """A lexicon from labelled rows where `chosen` holds: at most about DOCS_PER_LABEL texts of each label, by a hash of the id."""
     marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label")).where("label in (0, 1)").where(chosen("id"))
     counts = {r.label: r["count"] for r in marks.groupBy("label").count().collect()}
-    share = {k: min(1.0, DOCS_PER_LABEL / max(counts.get(k, 0), 1)) for k in (0, 1)}
+    share = {k: min(1.0, DOCS_PER_LABEL[k] / max(counts.get(k, 0), 1)) for k in (0, 1)}
     picked = marks.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.when(F.col("label") == 1, share[1]).otherwise(share[0]) * (1 << 30))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     words: dict[int, list[Counter]] = {0: [], 1: []}
