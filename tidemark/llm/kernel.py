@@ -237,12 +237,16 @@ class MemoTokenizer(Memo):
         places = np.flatnonzero(cut)
         return places[:-1], places[1:], np.searchsorted(places, offsets)
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows one after another, and row offsets into them."""
+    def encode_segments(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all rows one after another, each segment's number of ids, and row offsets into the segments."""
         starts, ends, rows = self.segments(data, offsets)
         entry = self.entries(data, starts, ends)
         size = self.size[entry]
-        ids = self.ids[expand(self.first[entry], size)]
+        return self.ids[expand(self.first[entry], size)], size, rows
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one after another, and row offsets into them."""
+        ids, size, rows = self.encode_segments(data, offsets)
         return ids, np.concatenate([[0], np.cumsum(size)])[rows]
 
 

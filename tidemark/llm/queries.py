@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import attention_lm, toxicity
 from .bitplane import read_ids, write_ids
 from .chat_format import digests, expand_prefixes
 from .common import shared_dir, spill, table, tokenizer_path
@@ -60,6 +60,13 @@ def op6_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = F.coalesce(remainder(7) != 2, F.lit(False))
+    scored = attention_lm.score(table(spark, sf_dir, "documents"), learn, tokenizer_path("word_bpe_49k.json"), 49407, 49408)
+    held = F.coalesce(remainder(7) == 2, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
