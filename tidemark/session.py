@@ -1,4 +1,4 @@
-"""Makes this package importable in the Python workers of a session."""
+"""Prepares a session: sources in the Python workers, and Arrow batches of bounded bytes."""
 
 from __future__ import annotations
 
@@ -9,10 +9,14 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+#: A session that has its own bound keeps it.
+_BATCH_BYTES, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def ship(spark: SparkSession) -> None:
     """Send the package's sources to all executors through Spark's own file server, once for each application."""
+    if spark.conf.get(_BATCH_BYTES) == _DEFAULT:
+        spark.conf.set(_BATCH_BYTES, "16m")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
