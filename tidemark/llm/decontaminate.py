@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import spill
-from .kernel import ALNUM, row_blocks, span_hashes, text_buffer, word_bounds, word_hashes
+from .kernel import ALNUM, kept, row_blocks, span_hashes, text_buffer, word_bounds, word_hashes
 
 WINDOW = 10
 #: Words of test items in one automaton; more items go through the text in further passes.
@@ -155,23 +155,12 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str):
         yield block()
 
 
-_MATCHERS: dict[str, Matcher] = {}
-
-
-def _matcher(block, key: str, window: int) -> Matcher:
-    if key not in _MATCHERS:
-        _MATCHERS.clear()
-        _, hashes, rows = block
-        _MATCHERS[key] = Matcher(hashes, rows, window)
-    return _MATCHERS[key]
-
-
 def _scan(shared, key: str, window: int, text_at: int, at: int):
     """Adds to each row's spans and items; the columns n_words, spans and items begin at `at`."""
 
     def run(batches):
         block = shared.value
-        matcher = _matcher(block, key, window)
+        matcher = kept(("matcher", key), lambda: Matcher(block[1], block[2], window))
         names = np.array(block[0], object)
         for batch in batches:
             data, offsets = text_buffer(batch.column(text_at))

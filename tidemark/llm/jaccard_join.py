@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, parallel, spill
-from .kernel import mix, row_blocks, shingle_hashes, text_buffer, word_hashes
+from .kernel import kept, mix, row_blocks, shingle_hashes, text_buffer, word_hashes
 
 _U = np.uint64
 SLOT_BITS = 18
@@ -76,6 +76,7 @@ def parity(found: np.ndarray) -> np.ndarray:
 
 def _profile(width: int):
     def run(batches):
+        kept()
         counts = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in batches:
             size, key, bits = [], [], [np.zeros((0, BITS), np.int64)]

@@ -250,14 +250,25 @@ class MemoTokenizer(Memo):
         return ids, np.concatenate([[0], np.cumsum(size)])[rows]
 
 
-_TOKENIZERS: dict[tuple[str, str], MemoTokenizer] = {}
+_KEPT: dict = {}
+
+
+def kept(key=None, make=None):
+    """What a worker keeps from task to task: one object, made anew when another key is asked for.
+
+    Every function that runs in a worker calls this first, without a key if it keeps nothing, so
+    that the memory of one operator is free while the next one runs.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        if make:
+            _KEPT[key] = make()
+    return _KEPT.get(key)
 
 
 def tokenizer(path: str, kind: str) -> MemoTokenizer:
-    """This worker's tokenizer for the file; it stays for later tasks of the worker."""
-    if (path, kind) not in _TOKENIZERS:
-        _TOKENIZERS[path, kind] = MemoTokenizer(path, kind)
-    return _TOKENIZERS[path, kind]
+    """This worker's tokenizer for the file."""
+    return kept(("tokenizer", path, kind), lambda: MemoTokenizer(path, kind))
 
 
 def with_end(ids: np.ndarray, rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

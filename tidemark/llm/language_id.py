@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import row_blocks, text_buffer
+from .kernel import kept, row_blocks, text_buffer
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -137,6 +137,7 @@ def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
 
 def _predict(shared):
     def run(batches):
+        kept()
         network = shared.value
         tables = network.tables() if network else None
         for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import ALNUM, LOWER, Memo, row_blocks, text_buffer, word_bounds
+from .kernel import ALNUM, LOWER, Memo, kept, row_blocks, text_buffer, word_bounds
 
 #: Bounds of the training sample: documents of label 0 and of label 1.
 DOCS_PER_LABEL = (4000, 2000)
@@ -234,9 +234,6 @@ class WordMemo(Memo):
         return out
 
 
-_MEMO: dict[str, WordMemo] = {}
-
-
 def context_factor(before: str, after: str, reported: bool) -> float:
     """What a hit counts by its surroundings: less inside a pair of quotation marks or after a word of reporting."""
     inside = any(c in QUOTES for c in before) and any(c in QUOTES for c in after) and sum(c == '"' for c in before) % 2 == (0 if any(c in "“„«‟»" for c in before) else 1)
@@ -245,10 +242,7 @@ def context_factor(before: str, after: str, reported: bool) -> float:
 
 def _score(shared, key: str):
     def run(batches):
-        if key not in _MEMO:
-            _MEMO.clear()
-            _MEMO[key] = WordMemo(shared.value)
-        memo = _MEMO[key]
+        memo = kept(("words", key), lambda: WordMemo(shared.value))
         for batch in batches:
             data, offsets = text_buffer(batch.column(0))
             score = np.zeros(len(batch))
