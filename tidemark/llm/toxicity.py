@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import ALNUM, LOWER, Memo, kept, row_blocks, text_buffer, word_bounds
+from .kernel import ALNUM, LOWER, Memo, kept, mix, row_blocks, seeds, shingle_hashes, text_buffer, word_bounds, word_hashes
 
 #: Bounds of the training sample: documents of label 0 and of label 1.
 DOCS_PER_LABEL = (4000, 2000)
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 LEAST_SHARE = 0.6
+COPY_HASHES = 4
 #: A misspelling counts as PRIOR until labelled texts that hold one say otherwise; the prior weighs as much as PRIOR_DOCS of them.
 PRIOR, PRIOR_DOCS = 0.85, 5
 #: Occurrences of a term in a text that are told apart.
@@ -211,12 +212,26 @@ def train(docs: DataFrame, labels: DataFrame, chosen, id_col: str = "doc_id", te
     share = {k: min(1.0, DOCS_PER_LABEL[k] / max(counts.get(k, 0), 1)) for k in (0, 1)}
     picked = marks.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.when(F.col("label") == 1, share[1]).otherwise(share[0]) * (1 << 30))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    found = sorted(tuple(r) for r in rows.join(F.broadcast(picked), "id").select("id", "label", "text").toLocalIterator())
     words: dict[int, list[Counter]] = {0: [], 1: []}
-    for r in rows.join(F.broadcast(picked), "id").select("label", "text").toLocalIterator():
-        words[r.label].append(Counter(text_words(r.text)))
+    for (_, label, text), new in zip(found, first_of_copies([text for _, _, text in found]), strict=True):
+        if new:
+            words[label].append(Counter(text_words(text)))
     return learn(words[1], words[0], 1 / share[0] * share[1] if counts else 1.0)
 
 
+def first_of_copies(texts: list[str]) -> list[bool]:
+    """Whether each text shares none of COPY_HASHES min-hashes of its shingles with an earlier one: a group of copies is one witness."""
+    seen: set[tuple[int, int]] = set()
+    salts, out = seeds(COPY_HASHES, 53), []
+    for text in texts:
+        shingles, _ = shingle_hashes(*word_hashes(*text_buffer(pa.array([text], pa.large_string()))))
+        own = {(k, int(mix(shingles ^ salt).min())) for k, salt in enumerate(salts)} if len(shingles) else set()
+        out.append(not own & seen)
+        seen |= own
+    return out
+
+
 class WordMemo(Memo):
     """For each word nothing, or its term * 4 + distance; 4 less for reporting words (value 2**31)."""
 
