@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fold
@@ -55,9 +55,12 @@ def contract_failures(contracts: DataFrame, scalars: dict[str, str], banned: lis
     checks = [F.when(~get(k).eqNullSafe(v), f"{k} must be {v}") for k, v in scalars.items()]
     checks.append(F.when(F.size(leaked) > 0, F.concat(F.lit("project truth keys in contract: "), F.array_join(leaked, ", "))))
     checks.append(F.when(own, F.concat(F.lit("unexpected tool set: "), F.array_join(ids, ", "))))
-    for name, (version, digest) in pins.items():
-        tool = F.try_element_at(F.filter(tools, lambda t, name=name: t["id"] == name), F.lit(-1))
-        checks.append(F.when(~own & ~(tool["version"].eqNullSafe(version) & tool["sha256"].eqNullSafe(digest)), f"{name} version/hash pin mismatch"))
+
+    def pinned(name: str, version: str, digest: str) -> Column:
+        tool = F.try_element_at(F.filter(tools, lambda t: t["id"] == name), F.lit(-1))
+        return F.when(~own & ~(tool["version"].eqNullSafe(version) & tool["sha256"].eqNullSafe(digest)), f"{name} version/hash pin mismatch")
+
+    checks += [pinned(name, *pin) for name, pin in pins.items()]
     found = F.filter(F.array(*checks), lambda c: c.isNotNull())
     return contracts.select(F.explode(found).alias("failure"))
 

@@ -26,7 +26,7 @@ def validate_request(value: Column) -> Column:
 
 
 def _fields(fields: Column) -> Column:
-    get = lambda name: F.get(F.map_values(F.map_filter(fields, lambda k, _: k == name)), F.lit(0))
+    get = lambda name: F.try_element_at(F.map_values(F.map_filter(fields, lambda k, _: k == name)), F.lit(-1))
     enabled = let(get("enabled"), lambda v: (kind(v) == "BOOLEAN") & F.try_variant_get(v, "$", "boolean"))
     return F.struct(
         F.array_sort(F.array_distinct(F.filter(F.map_keys(fields), lambda k: ~k.isin(*KEYS)))).alias("unknown"),
