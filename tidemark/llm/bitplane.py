@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import parallel
-from .kernel import row_blocks, text_buffer, tokenizer, with_end
+from .kernel import lean, row_blocks, text_buffer, tokenizer, with_end
 
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 20
@@ -152,4 +152,4 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     for part in sorted(totals):
         base[part] = total
         total += totals[part]
-    return found.mapInArrow(_read(spark.sparkContext.broadcast(base)), "doc_id long, start long, n_tokens long, ids binary")
+    return found.mapInArrow(lean(_read(spark.sparkContext.broadcast(base))), "doc_id long, start long, n_tokens long, ids binary")

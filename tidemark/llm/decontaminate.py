@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import spill
-from .kernel import ALNUM, kept, row_blocks, span_hashes, text_buffer, word_bounds, word_hashes
+from .kernel import ALNUM, kept, lean, row_blocks, span_hashes, text_buffer, word_bounds, word_hashes
 
 WINDOW = 10
 #: Words of test items in one automaton; more items go through the text in further passes.
@@ -245,4 +245,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", cov
     columns = docs.columns
     found = scan(docs, items, text_col, window=window)
     kept = found.where(F.expr(HIT_WORDS) <= F.lit(coverage) * F.col("n_words")).select(*columns, F.col("spans").alias("_spans"))
-    return kept.mapInArrow(_cut(columns.index(text_col), len(columns)), docs.schema)
+    return kept.mapInArrow(lean(_cut(columns.index(text_col), len(columns))), docs.schema)

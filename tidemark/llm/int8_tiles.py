@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, spill
+from .kernel import lean, lean_group
 
 TILE = 1024
 GROUP = (256, 8192)
@@ -145,7 +146,7 @@ def cosine_components(vectors: DataFrame, threshold: float = 0.9, id_col: str =
     for r in reps.orderBy(F.xxhash64("rep")).limit(PIVOTS).collect():  # pivots only order the work
         chosen.setdefault(len(r.v), []).append(np.array(r.v) / np.sqrt(np.sum(np.square(np.array(r.v) / np.max(np.abs(r.v))))) / np.max(np.abs(r.v)))
     pivots = {dim: np.array(x) for dim, x in chosen.items()}
-    reps = spill(reps.mapInArrow(_nearest(pivots), "rep long, copies long, v array<double>, dim int, pivot int"), "reps")
+    reps = spill(reps.mapInArrow(lean(_nearest(pivots)), "rep long, copies long, v array<double>, dim int, pivot int"), "reps")
 
     # pivots in turn fill groups; a large one is split by hash. At most PIVOTS and as many lengths reach the driver.
     counts = {(r["dim"], r.pivot): r["count"] for r in reps.groupBy("dim", "pivot").count().collect()}
@@ -167,7 +168,7 @@ def cosine_components(vectors: DataFrame, threshold: float = 0.9, id_col: str =
     place = spark.createDataFrame([(*g, *low_high[g[0]]) for g in groups], "dim int, pivot int, start int, parts int, low int, high int")
     dealt = reps.join(F.broadcast(place), ["dim", "pivot"]).withColumn("grp", F.expr("start + cast(pmod(xxhash64(rep), parts) as int)"))
     cells = dealt.withColumn("other", F.explode(F.sequence("low", "high"))).select(F.least("grp", "other").alias("a"), F.greatest("grp", "other").alias("b"), "grp", "pivot", "rep", "copies", "v")
-    found = spill(cells.groupBy("a", "b").applyInArrow(_cell(threshold), "rep long, links long, root long"), "links")
+    found = spill(cells.groupBy("a", "b").applyInArrow(lean_group(_cell(threshold)), "rep long, links long, root long"), "links")
     linked = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     total = found.groupBy("rep").agg(F.sum("links").alias("links"))
     named = counted.join(total, "rep", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left")

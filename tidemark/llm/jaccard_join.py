@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, parallel, spill
-from .kernel import kept, mix, row_blocks, shingle_hashes, text_buffer, word_hashes
+from .kernel import lean, lean_group, mix, row_blocks, shingle_hashes, text_buffer, word_hashes
 
 _U = np.uint64
 SLOT_BITS = 18
@@ -76,7 +76,6 @@ def parity(found: np.ndarray) -> np.ndarray:
 
 def _profile(width: int):
     def run(batches):
-        kept()
         counts = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in batches:
             size, key, bits = [], [], [np.zeros((0, BITS), np.int64)]
@@ -110,8 +109,8 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     The counts cover all documents; their table has 2**SLOT_BITS slots at any input size, so what
     the driver takes in and sends out again is 2 MB. Slots below the noise of the mean count as 0.
     """
-    both = spill(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_profile(width), _PROFILE), "profile")
-    pieces = both.where("slots is not null").select("slots", "counts").repartition(parallel(docs), "slots").mapInArrow(_sum_counts, "slots int, counts binary").collect()
+    both = spill(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(_profile(width)), _PROFILE), "profile")
+    pieces = both.where("slots is not null").select("slots", "counts").repartition(parallel(docs), "slots").mapInArrow(lean(_sum_counts), "slots int, counts binary").collect()
     counts = np.zeros(1 << SLOT_BITS, np.float64)
     for k, x in pieces:
         counts[k * SLOT_PIECE : (k + 1) * SLOT_PIECE] = np.frombuffer(x, np.uint64)
@@ -215,9 +214,9 @@ def live_prefixes(docs: DataFrame, above: np.ndarray, entries: int, text_col: st
     """One row for each class that may have a partner, with those prefix shingles that other classes have too."""
     buckets = max(4 * parallel(docs), entries // ENTRIES_PER_BUCKET)
     table = docs.sparkSession.sparkContext.broadcast(above)
-    packs = docs.select(text_col).mapInArrow(_prefixes(table, buckets, width), _PACKED)
-    packs = packs.groupBy("bucket").applyInArrow(_drop_single(buckets), _PACKED)
-    return spill(packs.groupBy("bucket").applyInArrow(_by_class, _LIVE), "live")
+    packs = docs.select(text_col).mapInArrow(lean(_prefixes(table, buckets, width)), _PACKED)
+    packs = packs.groupBy("bucket").applyInArrow(lean_group(_drop_single(buckets)), _PACKED)
+    return spill(packs.groupBy("bucket").applyInArrow(lean_group(_by_class), _LIVE), "live")
 
 
 def _linked(width: int):
@@ -237,7 +236,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int = 5) -> DataFrame:
     """Those pairs (a, b) of ids whose whole texts link. docs: (doc_id, text), one row for each id."""
     left = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_linked(width), "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(lean(_linked(width)), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:

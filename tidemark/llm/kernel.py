@@ -164,15 +164,15 @@ class Memo:
     Segments are told apart by a 64-bit hash. At `capacity` kept segments the memory starts anew.
     """
 
-    SLOTS = 1 << 22
+    SLOTS = 1 << 21
 
-    def __init__(self, capacity: int = 2_500_000, fold: np.ndarray = SAME):
+    def __init__(self, capacity: int = 1_000_000, fold: np.ndarray = SAME):
         self.capacity, self.fold = capacity, fold
         self.clear()
 
     def clear(self):
         self.keys, self.slot = np.zeros(self.SLOTS, _U), np.full(self.SLOTS, -1, np.int32)
-        self.first, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.first, self.size, self.ids = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
     def compute(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
@@ -193,8 +193,8 @@ class Memo:
             size = np.fromiter(map(len, values), np.int64, len(values))
             flat = np.fromiter((i for ids in values for i in ids), np.uint32, int(size.sum()))
             base = len(self.first)
-            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-            self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, flat])
+            self.first = np.concatenate([self.first, (len(self.ids) + np.cumsum(size) - size).astype(np.int32)])
+            self.size, self.ids = np.concatenate([self.size, size.astype(np.int32)]), np.concatenate([self.ids, flat])
             entry[missing] = base + back
             where, one = np.unique((new & _U(self.SLOTS - 1)).astype(np.int64), return_index=True)  # of two new keys of one place one stays
             self.keys[where], self.slot[where] = new[one], base + one
@@ -241,7 +241,7 @@ class MemoTokenizer(Memo):
         """Ids of all rows one after another, each segment's number of ids, and row offsets into the segments."""
         starts, ends, rows = self.segments(data, offsets)
         entry = self.entries(data, starts, ends)
-        size = self.size[entry]
+        size = self.size[entry].astype(np.int64)
         return self.ids[expand(self.first[entry], size)], size, rows
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,12 +260,55 @@ def kept(key=None, make=None):
     that the memory of one operator is free while the next one runs.
     """
     if key not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            give_back()
         if make:
             _KEPT[key] = make()
     return _KEPT.get(key)
 
 
+def give_back() -> None:
+    """Return freed memory of this worker to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def lean(run):
+    """A function over Arrow batches that keeps nothing of former tasks, and gives its memory back at its end."""
+
+    def leaner(batches):
+        kept()
+        yield from run(batches)
+        give_back()
+
+    return leaner
+
+
+def lean_group(run):
+    """The same for a function of one group."""
+
+    def leaner(group):
+        kept()
+        out = run(group)
+        _GROUPS[0] += 1
+        if _GROUPS[0] % 16 == 0:
+            give_back()
+        return out
+
+    return leaner
+
+
+_GROUPS = [0]
+
+
 def tokenizer(path: str, kind: str) -> MemoTokenizer:
     """This worker's tokenizer for the file."""
     return kept(("tokenizer", path, kind), lambda: MemoTokenizer(path, kind))

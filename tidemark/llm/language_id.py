@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import kept, row_blocks, text_buffer
+from .kernel import lean, row_blocks, text_buffer
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -137,7 +137,6 @@ def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text"
 
 def _predict(shared):
     def run(batches):
-        kept()
         network = shared.value
         tables = network.tables() if network else None
         for batch in batches:
@@ -174,4 +173,4 @@ def identify(docs: DataFrame, network: ByteNetwork | None, text_col: str = "text
     out = docs.drop("lang_pred", "score")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    return out.select(F.col(text_col).cast("string").alias("_text"), *out.columns).mapInArrow(_predict(shared), f"{fields}, lang_pred string, score double")
+    return out.select(F.col(text_col).cast("string").alias("_text"), *out.columns).mapInArrow(lean(_predict(shared)), f"{fields}, lang_pred string, score double")
