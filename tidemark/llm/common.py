@@ -37,12 +37,21 @@ def spill(df: DataFrame, name: str, row_group: int = 32 << 20) -> DataFrame:
     """`df` written as a table in the shared folder and read again: lineage ends here, and a lost
     executor costs nothing that came before. The JVM is asked to collect garbage, so that Spark
     drops the shuffle files that led here. Row groups of at most `row_group` bytes bound a writer's
-    memory. The folder's owner removes the tables."""
+    memory. `discard` removes a table that is no longer needed; the folder's owner removes the rest."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("parquet.block.size", row_group).parquet(path)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.spilled_to = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables behind frames from `spill`, once nothing that is still to run reads them."""
+    for frame in frames:
+        place = frame.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.spilled_to)
+        place.getFileSystem(frame.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def parallel(df: DataFrame) -> int:
@@ -78,8 +87,9 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     for _ in range(limit):
         if not before[0]:
             break
-        now = spill(star(star(now, True), False), "edges")
+        now, last = spill(star(star(now, True), False), "edges"), now
         after = state(now)
+        discard(last)
         if after == before:
             break
         before = after

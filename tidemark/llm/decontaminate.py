@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import spill
-from .kernel import ALNUM, kept, lean, row_blocks, span_hashes, text_buffer, word_bounds, word_hashes
+from .kernel import ALNUM, kept, row_blocks, span_hashes, text_buffer, word_bounds, word_hashes
 
 WINDOW = 10
 #: Words of test items in one automaton; more items go through the text in further passes.
@@ -186,30 +186,35 @@ def _scan(shared, key: str, window: int, text_at: int, at: int):
     return run
 
 
-def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """`docs` and the columns n_words, spans (words first to last - 1, bytes start to end), items (ids as strings).
-
-    Null and empty texts have no words. Items without id or words match nothing; equal ids are one
-    item. Spans of several passes may overlap. A text's own columns of these three names are
-    replaced. An empty item table leaves all spans empty.
-    """
+def _last_pass(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int):
+    """The rows before the last pass over the text, its function, and the schema that it gives."""
     out = docs.drop("n_words", "spans", "items")
     at, text_at = len(out.columns), out.columns.index(text_col)
     out = out.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.lit(None).cast("array<struct<first:long,last:long,start:long,end:long>>"), "items": F.lit(None).cast("array<string>")})
     schema, context = out.schema, docs.sparkSession.sparkContext
     for field in list(schema)[at:]:
         field.nullable = True
-    passes = 0
+    run = None
     for block in item_blocks(items, item_id, item_text):
-        if passes:
-            out = spill(out, "scanned")
+        if run:
+            out = spill(out.mapInArrow(run, schema), "scanned")
         shared = context.broadcast(block)
-        out = out.mapInArrow(_scan(shared, f"{context.applicationId}-{shared._jbroadcast.id()}", window, text_at, at), schema)
-        passes += 1
-    if not passes:
+        run = _scan(shared, f"{context.applicationId}-{shared._jbroadcast.id()}", window, text_at, at)
+    if not run:
         none = context.broadcast(([], np.zeros(0, np.uint64), np.zeros(1, np.int64)))
-        out = out.mapInArrow(_scan(none, f"{context.applicationId}-{none._jbroadcast.id()}", window, text_at, at), schema)
-    return out
+        run = _scan(none, f"{context.applicationId}-{none._jbroadcast.id()}", window, text_at, at)
+    return out, run, schema
+
+
+def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
+    """`docs` and the columns n_words, spans (words first to last - 1, bytes start to end), items (ids as strings).
+
+    Null and empty texts have no words. Items without id or words match nothing; equal ids are one
+    item. Spans of several passes may overlap. A text's own columns of these three names are
+    replaced. An empty item table leaves all spans empty.
+    """
+    out, run, schema = _last_pass(docs, items, text_col, item_id, item_text, window)
+    return out.mapInArrow(run, schema)
 
 
 #: Hit words of a document, as the union of its spans.
@@ -217,22 +222,28 @@ HIT_WORDS = """aggregate(array_sort(spans), named_struct('n', 0L, 'at', 0L),
     (s, x) -> named_struct('n', s.n + greatest(0L, x.last - greatest(x.first, s.at)), 'at', greatest(s.at, x.last)), s -> s.n)"""
 
 
-def _cut(text_at: int, spans_at: int):
+def _cut(scanned, text_at: int, at: int, coverage: float):
+    """A pass and the cut after it, in one worker."""
+
     def run(batches):
-        for batch in batches:
-            texts, spans = batch.column(text_at), batch.column(spans_at).to_pylist()
+        for batch in scanned(batches):
+            texts, spans = batch.column(text_at), batch.column(at + 1).to_pylist()
+            keep = [True] * len(batch)
             if any(spans):
-                out = texts.to_pylist()
+                out, words = texts.to_pylist(), batch.column(at).to_pylist()
                 for i, own in enumerate(spans):
                     if own:
-                        raw, kept, at = out[i].encode(), [], 0
+                        raw, parts, end, hit, last = out[i].encode(), [], 0, 0, 0
                         for s in sorted(own, key=lambda s: s["start"]):
-                            kept.append(raw[at : max(at, s["start"])])
-                            at = max(at, s["end"])
-                        out[i] = b"".join([*kept, raw[at:]]).decode()
+                            parts.append(raw[end : max(end, s["start"])])
+                            end = max(end, s["end"])
+                            hit += max(0, s["last"] - max(s["first"], last))
+                            last = max(last, s["last"])
+                        out[i] = b"".join([*parts, raw[end:]]).decode()
+                        keep[i] = hit <= coverage * words[i]
                 texts = pa.array(out, texts.type)
-            columns = [texts if k == text_at else c for k, c in enumerate(batch.columns) if k != spans_at]
-            yield pa.RecordBatch.from_arrays(columns, [n for k, n in enumerate(batch.schema.names) if k != spans_at])
+            columns = [texts if k == text_at else c for k, c in enumerate(batch.columns[:at])]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:at]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -240,9 +251,9 @@ def _cut(text_at: int, spans_at: int):
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", coverage: float = 0.5, window: int = WINDOW) -> DataFrame:
     """`docs` with all hit spans cut out of the text; rows in which they are more than `coverage` of the words go.
 
-    A row without hits keeps its text unchanged, null included. Columns stay as they are.
+    A row without hits keeps its text unchanged, null included. Columns stay as they are, but for
+    columns named n_words, spans or items, which go.
     """
-    columns = docs.columns
-    found = scan(docs, items, text_col, window=window)
-    kept = found.where(F.expr(HIT_WORDS) <= F.lit(coverage) * F.col("n_words")).select(*columns, F.col("spans").alias("_spans"))
-    return kept.mapInArrow(lean(_cut(columns.index(text_col), len(columns))), docs.schema)
+    plain = docs.drop("n_words", "spans", "items")
+    out, run, _ = _last_pass(plain, items, text_col, "item_id", "text", window)
+    return out.mapInArrow(_cut(run, plain.columns.index(text_col), len(plain.columns), coverage), plain.schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, parallel, spill
+from .common import components, discard, parallel, spill
 from .kernel import lean, lean_group, mix, row_blocks, shingle_hashes, text_buffer, word_hashes
 
 _U = np.uint64
@@ -253,7 +253,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = spill(rows.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), *(F.max(b).alias(b) for b in _BITS)), "classes")
     entries = classes.agg(F.sum("n")).first()[0] or 0
     live = live_prefixes(docs, above, entries, "text", width)
-    live = spill(live.join(classes.drop("n"), "class").drop("class"), "live")
+    live, by_class = spill(live.join(classes.drop("n"), "class").drop("class"), "live"), live
+    discard(by_class)
 
     keys = live.select("rep", "size", "live", *_BITS, F.expr(f"named_struct('full', live / size, 'rep', -rep, 'size', size, 'live', live, {', '.join(f'{chr(39)}{b}{chr(39)}, {b}' for b in _BITS)})").alias("rank"), F.explode(F.slice("tokens", 1, STAR_KEYS)).alias("token"))
     keys = spill(keys, "keys")
@@ -263,6 +264,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = docs.where("doc_id is not null")
     # the smallest id of a class may stand in several rows; only one of them may be of this class
     edges = spill(verified(first, reps, width).distinct(), "links")
+    discard(keys, leader)
     linked = spill(components(edges), "linked")
 
     entry = live.join(linked, live.rep == linked.node, "left").select("rep", F.coalesce("component", "rep").alias("comp"), "size", "best", "live", *_BITS, F.explode(F.arrays_zip("tokens", "levels")).alias("x"))
@@ -275,11 +277,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     pairs = pairs.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).agg(F.count("*").alias("shared"), F.max(F.least("best_a", "best_b")).alias("need")).where("shared >= need").select("a", "b")
     pairs = spill(pairs, "pairs")
+    discard(entry, live)
     if not pairs.isEmpty():
         more = spill(verified(pairs, reps, width).distinct(), "links")
         if not more.isEmpty():
             linked = spill(components(edges.union(more)), "linked")
     named = classes.join(linked, classes.rep == linked.node, "left").select("class", F.coalesce("component", "rep").alias("component_id"))
     named = spill(named, "named")
+    discard(classes, edges, pairs)
     out = rows.join(named, "class", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))

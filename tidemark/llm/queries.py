@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, toxicity
+from . import attention_lm, oracles, toxicity
 from .bitplane import read_ids, write_ids
 from .chat_format import digests, expand_prefixes
 from .common import shared_dir, spill, table, tokenizer_path
@@ -86,4 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
