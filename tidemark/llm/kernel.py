@@ -164,9 +164,9 @@ class Memo:
     Segments are told apart by a 64-bit hash. At `capacity` kept segments the memory starts anew.
     """
 
-    SLOTS = 1 << 21
+    SLOTS = 1 << 22
 
-    def __init__(self, capacity: int = 1_000_000, fold: np.ndarray = SAME):
+    def __init__(self, capacity: int = 2_000_000, fold: np.ndarray = SAME):
         self.capacity, self.fold = capacity, fold
         self.clear()
 
