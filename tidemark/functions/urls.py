@@ -13,6 +13,7 @@ HOSTS = ("youtube.com", "www.youtube.com", "m.youtube.com", "youtu.be")
 SHORT_HOST = "youtu.be"
 WHOLE = r"(?s)\A([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?\z"
 AUTHORITY = r"(?s)\A([^:]*)(?::(.*))?\z"
+#: Fixed value: the form of a video id.
 VIDEO_ID = r"\A[A-Za-z0-9_-]{11}\z"
 BAD_SITE = "url must be a direct HTTPS video or Short URL of the supported site"
 BAD_AUTHORITY = "URL credentials and custom ports are not allowed"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WS, clean_caption_text, fold, normalized_transcript, sha256_text, squeeze, strip, token_key, tokens, unescape_entities, without_tags
 
+#: The overlap window, timing lines, metadata lines and comment blocks of subtitle files.
 LONGEST_OVERLAP = 40
 TIME = r"(?:\p{Nd}{1,2}:)?\p{Nd}{2}:\p{Nd}{2}[,.]\p{Nd}{3}"
 TIMING = rf"\A({TIME}){WS}+-->{WS}+({TIME})(?:{WS}+.*)?\z"

@@ -10,6 +10,7 @@ from ..functions.text import strip
 from ..functions.urls import canonical_url
 from ..functions.variants import kind, spelled
 
+#: Allowed fields, and the forms of an id and of a language.
 KEYS = ("enabled", "request_id", "url", "language")
 REQUEST_ID = r"\A[A-Za-z0-9][A-Za-z0-9._-]{2,79}\z"
 LANGUAGE = r"\A(?:auto|[A-Za-z]{2,3}(?:-[A-Za-z0-9]{2,16})?)\z"

@@ -10,6 +10,7 @@ from ..functions.urls import VIDEO_ID, site_url
 from ..functions.variants import at, kind, spelled, text, truthy
 from .tracks import LANGUAGE_TAG
 
+#: Statuses, refused keys, execution targets.
 STATUSES = ("ok", "skipped_no_captions", "access_blocked", "error")
 FORBIDDEN_KEYS = ("source_context", "project_id", "source_set_version")
 TARGETS = ("self-hosted", "local", "test")

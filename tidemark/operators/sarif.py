@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Fixed value: the severity from which a finding counts.
 THRESHOLD = 7.0
 SCHEMA = """runs array<struct<
     tool:struct<driver:struct<rules:array<struct<id:string,properties:map<string,string>>>>>,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
+#: States that keep their name.
 STATES = ("success", "failure", "pending", "error")
 
 

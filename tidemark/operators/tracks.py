@@ -10,6 +10,7 @@ from ..functions.text import fold, strip
 from ..functions.urls import has_translation
 from ..functions.variants import kind, text
 
+#: Fixed value: the form of a track's language tag.
 LANGUAGE_TAG = r"\A[A-Za-z]{2,3}(?:[-.][A-Za-z0-9]{2,16})*\z"
 #: Families preferred where no other rule decides, best first.
 FAMILIES = ("en", "nl")
