@@ -9,8 +9,9 @@ A document's set holds the hashes of its distinct five-word shingles. Two docume
    document takes the l (1 to 4) of least estimated cost: candidates from the counted frequencies
    of the prefix, divided by the l matches that each then needs.
 3. `live_prefixes` brings equal prefix shingles together as packed columns, drops those that only
-   one class has, and turns the rest back to one row per class. A class whose set can't reach the
-   overlap any more without the dropped shingles has no partner and goes.
+   one class has there, and turns the rest back to one row per class. A class of which none of the
+   first s - ceil(0.75 s) + 1 is left has no partner and goes. Dropped shingles bound no overlap:
+   they may stand behind a partner's prefix, and a partner may have a smaller l.
 4. A first join links each class with the fullest class under a few of its shingles; nearly all
    copies meet there. The second join compares, exactly and for all prefix shingles, what is still
    in different components. Members of one component are never paired, so a group of copies costs
@@ -36,9 +37,9 @@ LONGEST = 4
 STAR_KEYS = 6
 VERIFY_COST = 50
 ENTRIES_PER_BUCKET = 1_000_000
-#: Sizes, shingles that others have too, and parity bitmaps (two sets differ in as many shingles as
-#: bits at least) leave room for the overlap that a link needs, 3 / 7 of both sizes together.
-POSSIBLE = "100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b) and 7 * least(live_a, live_b) >= 3 * (size_a + size_b) and " + "7 * ({}) <= size_a + size_b".format(" + ".join(f"bit_count(bits{k}_a ^ bits{k}_b)" for k in range(8)))
+#: Sizes and parity bitmaps (two sets differ in as many shingles as bits at least) leave room for the
+#: overlap that a link needs, 3 / 7 of both sizes together.
+POSSIBLE = "100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b) and " + "7 * ({}) <= size_a + size_b".format(" + ".join(f"bit_count(bits{k}_a ^ bits{k}_b)" for k in range(8)))
 
 
 def needed(size):
@@ -202,8 +203,8 @@ def _by_class(group: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.diff(classes, prepend=classes[:1] ^ 1))
     n = np.diff(np.append(first, len(classes)))
     size, best = sizes[first].astype(np.int64), (levels[first] >> 3 & 7).astype(np.int64)
-    live = size - (size - needed(size) + best - n)
-    keep = live >= needed(size)
+    live = needed(size) - best + n  # ranks classes; it bounds no overlap
+    keep = np.logical_or.reduceat((levels & 7) == 1, first) if len(first) else np.zeros(0, bool)
     at = np.repeat(keep, n)
     offsets = pa.array(np.concatenate([[0], np.cumsum(n[keep])]), pa.int32())
     lists = [pa.ListArray.from_arrays(offsets, pa.array(x[at], kind)) for x, kind in ((tokens.view(np.int64), pa.int64()), ((levels & 7).astype(np.int32), pa.int32()))]
@@ -256,22 +257,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     live, by_class = spill(live.join(classes.drop("n"), "class").drop("class"), "live"), live
     discard(by_class)
 
-    keys = live.select("rep", "size", "live", *_BITS, F.expr(f"named_struct('full', live / size, 'rep', -rep, 'size', size, 'live', live, {', '.join(f'{chr(39)}{b}{chr(39)}, {b}' for b in _BITS)})").alias("rank"), F.explode(F.slice("tokens", 1, STAR_KEYS)).alias("token"))
+    keys = live.select("rep", "size", *_BITS, F.expr(f"named_struct('full', live / size, 'rep', -rep, 'size', size, {', '.join(f'{chr(39)}{b}{chr(39)}, {b}' for b in _BITS)})").alias("rank"), F.explode(F.slice("tokens", 1, STAR_KEYS)).alias("token"))
     keys = spill(keys, "keys")
     leader = keys.groupBy("token").agg(F.max("rank").alias("rank"), F.count("*").alias("members")).where("members > 1")
-    leader = spill(leader.select("token", F.expr("-rank.rep").alias("b"), F.col("rank.size").alias("size_b"), F.col("rank.live").alias("live_b"), *(F.col(f"rank.{b}").alias(f"{b}_b") for b in _BITS)), "leaders")
-    first = keys.selectExpr("token", "rep as a", "size as size_a", "live as live_a", *(f"{b} as {b}_a" for b in _BITS)).join(leader, "token").where(f"a <> b and {POSSIBLE}").select("a", "b").distinct()
+    leader = spill(leader.select("token", F.expr("-rank.rep").alias("b"), F.col("rank.size").alias("size_b"), *(F.col(f"rank.{b}").alias(f"{b}_b") for b in _BITS)), "leaders")
+    first = keys.selectExpr("token", "rep as a", "size as size_a", *(f"{b} as {b}_a" for b in _BITS)).join(leader, "token").where(f"a <> b and {POSSIBLE}").select("a", "b").distinct()
     reps = docs.where("doc_id is not null")
     # the smallest id of a class may stand in several rows; only one of them may be of this class
     edges = spill(verified(first, reps, width).distinct(), "links")
     discard(keys, leader)
     linked = spill(components(edges), "linked")
 
-    entry = live.join(linked, live.rep == linked.node, "left").select("rep", F.coalesce("component", "rep").alias("comp"), "size", "best", "live", *_BITS, F.explode(F.arrays_zip("tokens", "levels")).alias("x"))
-    entry = entry.select("rep", "comp", "size", "best", "live", *_BITS, F.col("x.tokens").alias("token"), F.col("x.levels").alias("level"))
+    entry = live.join(linked, live.rep == linked.node, "left").select("rep", F.coalesce("component", "rep").alias("comp"), "size", "best", *_BITS, F.explode(F.arrays_zip("tokens", "levels")).alias("x"))
+    entry = entry.select("rep", "comp", "size", "best", *_BITS, F.col("x.tokens").alias("token"), F.col("x.levels").alias("level"))
     mixed = entry.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
     entry = spill(entry.join(mixed, "token"), "mixed")
-    x, y = (entry.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "comp", "size", "best", "live", "level", *_BITS))) for s in "ab")
+    x, y = (entry.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "comp", "size", "best", "level", *_BITS))) for s in "ab")
     pairs = x.join(y, "token").where(
         f"rep_a < rep_b and comp_a <> comp_b and {POSSIBLE} and greatest(level_a, level_b) <= least(best_a, best_b)"
     )
