@@ -40,6 +40,10 @@ ENTRIES_PER_BUCKET = 1_000_000
 #: Sizes and parity bitmaps (two sets differ in as many shingles as bits at least) leave room for the
 #: overlap that a link needs, 3 / 7 of both sizes together.
 POSSIBLE = "100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b) and " + "7 * ({}) <= size_a + size_b".format(" + ".join(f"bit_count(bits{k}_a ^ bits{k}_b)" for k in range(8)))
+#: Only for the first join, which may leave pairs to the second: shingles that others have in their prefixes, too, make up the overlap.
+LIKELY = f"7 * least(live_a, live_b) >= 3 * (size_a + size_b) and {POSSIBLE}"
+#: Of prefixes with l = `need` matches, all shared shingles up to the end of one are counted in `shared`; behind it that set has needed(size) - l more.
+ENOUGH = "shared >= need and 7 * (shared - need + (75 * greatest(size_a, size_b) + 99) div 100) >= 3 * (size_a + size_b)"
 
 
 def needed(size):
@@ -203,7 +207,7 @@ def _by_class(group: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.diff(classes, prepend=classes[:1] ^ 1))
     n = np.diff(np.append(first, len(classes)))
     size, best = sizes[first].astype(np.int64), (levels[first] >> 3 & 7).astype(np.int64)
-    live = needed(size) - best + n  # ranks classes; it bounds no overlap
+    live = needed(size) - best + n  # an estimate; it bounds no overlap
     keep = np.logical_or.reduceat((levels & 7) == 1, first) if len(first) else np.zeros(0, bool)
     at = np.repeat(keep, n)
     offsets = pa.array(np.concatenate([[0], np.cumsum(n[keep])]), pa.int32())
@@ -257,11 +261,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     live, by_class = spill(live.join(classes.drop("n"), "class").drop("class"), "live"), live
     discard(by_class)
 
-    keys = live.select("rep", "size", *_BITS, F.expr(f"named_struct('full', live / size, 'rep', -rep, 'size', size, {', '.join(f'{chr(39)}{b}{chr(39)}, {b}' for b in _BITS)})").alias("rank"), F.explode(F.slice("tokens", 1, STAR_KEYS)).alias("token"))
+    keys = live.select("rep", "size", "live", *_BITS, F.expr(f"named_struct('full', live / size, 'rep', -rep, 'size', size, 'live', live, {', '.join(f'{chr(39)}{b}{chr(39)}, {b}' for b in _BITS)})").alias("rank"), F.explode(F.slice("tokens", 1, STAR_KEYS)).alias("token"))
     keys = spill(keys, "keys")
     leader = keys.groupBy("token").agg(F.max("rank").alias("rank"), F.count("*").alias("members")).where("members > 1")
-    leader = spill(leader.select("token", F.expr("-rank.rep").alias("b"), F.col("rank.size").alias("size_b"), *(F.col(f"rank.{b}").alias(f"{b}_b") for b in _BITS)), "leaders")
-    first = keys.selectExpr("token", "rep as a", "size as size_a", *(f"{b} as {b}_a" for b in _BITS)).join(leader, "token").where(f"a <> b and {POSSIBLE}").select("a", "b").distinct()
+    leader = spill(leader.select("token", F.expr("-rank.rep").alias("b"), F.col("rank.size").alias("size_b"), F.col("rank.live").alias("live_b"), *(F.col(f"rank.{b}").alias(f"{b}_b") for b in _BITS)), "leaders")
+    first = keys.selectExpr("token", "rep as a", "size as size_a", "live as live_a", *(f"{b} as {b}_a" for b in _BITS)).join(leader, "token").where(f"a <> b and {LIKELY}").select("a", "b").distinct()
     reps = docs.where("doc_id is not null")
     # the smallest id of a class may stand in several rows; only one of them may be of this class
     edges = spill(verified(first, reps, width).distinct(), "links")
@@ -276,7 +280,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = x.join(y, "token").where(
         f"rep_a < rep_b and comp_a <> comp_b and {POSSIBLE} and greatest(level_a, level_b) <= least(best_a, best_b)"
     )
-    pairs = pairs.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).agg(F.count("*").alias("shared"), F.max(F.least("best_a", "best_b")).alias("need")).where("shared >= need").select("a", "b")
+    # one id may name several classes: sizes keep them apart
+    pairs = pairs.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "size_a", "size_b", F.least("best_a", "best_b").alias("need")).agg(F.count("*").alias("shared")).where(ENOUGH).select("a", "b").distinct()
     pairs = spill(pairs, "pairs")
     discard(entry, live)
     if not pairs.isEmpty():
