@@ -4,8 +4,12 @@ import random
 
 import brute
 import numpy as np
+import public_tokenizers
+import pytest
 
-from tidemark.llm import jaccard_join
+from pyspark.sql import functions as F
+
+from tidemark.llm import attention_lm, jaccard_join
 
 
 def frame(spark, rows):
@@ -24,3 +28,21 @@ def test_jaccard_links_of_unequal_sizes(spark):
         rows.append((1000 + k, " ".join(line[: 60 + k % 31] + [f"t{r.randrange(10**6)}" for _ in range(k % 7)])))
     found = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(frame(spark, rows)).collect()}
     assert found == brute.op8(rows)
+
+
+def test_every_word_is_mixed(spark, monkeypatch):
+    """Scores use the counts of all words, however many are sent to all tasks."""
+    r = random.Random(6)
+    rows = [(k, " ".join(r.choice(["plain", "words", f"rare{r.randrange(40)}"]) for _ in range(30))) for k in range(40)]
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(attention_lm, "STEPS", 5)
+    score = lambda: {x.doc_id: x.score for x in attention_lm.score(frame(spark, rows), F.lit(True), path, 49407, 49408).collect()}
+    many = score()
+    monkeypatch.setattr(attention_lm, "HEAVY", 2)
+    assert score() == pytest.approx(many)
+
+
+def test_heavy_words_of_one_place():
+    words = np.array([5, 5 + (1 << 20), 5 + (2 << 20), 9], np.uint64)
+    heavy = attention_lm.HeavyWords(words, np.array([2, 30, 4, 7]))
+    assert heavy.look_up(np.append(words, np.array([5 + (3 << 20), 8], np.uint64))).tolist() == [2, 30, 4, 7, 0, 0]
