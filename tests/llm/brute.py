@@ -164,3 +164,26 @@ def repeated_words(rows, size=50):
                 hit.update(range(i, i + size))
         out[doc] = hit
     return out
+
+
+def lm_log_chances(model, ids):
+    """Natural logarithms of the ids' chances, place by place, from the model's parameters."""
+    import numpy as np
+    from tidemark.llm.attention_lm import CONTEXT, MEMBERS, STRIDE, WIDTH
+
+    def log_softmax(z):
+        z = np.asarray(z, np.float64)
+        return z - z.max() - math.log(sum(math.exp(v - z.max()) for v in z))
+
+    p, out = model.p, []
+    before = [0, *(int(model.target[i]) + 1 for i in ids[:-1])]
+    for t, i in enumerate(ids):
+        seen = range(max(0, t // STRIDE * STRIDE - CONTEXT), t + 1)
+        query = p["e"][before[t]] @ p["q"]
+        z = log_softmax([query @ (p["e"][before[u]] @ p["k"]) / math.sqrt(WIDTH) + p["pos"][t - u] for u in seen])
+        h = p["e"][before[t]] + sum(math.exp(a) * (p["e"][before[u]] @ p["v"]) for a, u in zip(z, seen, strict=True))
+        g = h + np.maximum(h @ p["w1"] + p["b1"], 0) @ p["w2"]
+        group, member = divmod(int(model.target[i]), MEMBERS)
+        chance = log_softmax(g @ p["out"] + p["pair"][before[t]])[group] + log_softmax(g @ p["member"][group] + model.inner[before[t], group])[member]
+        out.append(chance + model.share[i])
+    return out

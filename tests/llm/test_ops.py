@@ -268,31 +268,39 @@ def test_attention_lm(spark):
     assert attention_lm.score(frame(spark, []), learn, WORD, 49407, 49408).count() == 0
 
 
-def test_lm_chances_add_up_and_are_causal():
+def fitted(ids, vocabulary, steps):
+    rows = np.array([0, len(ids)])
+    model = attention_lm.AttentionModel(vocabulary)
+    model.arrange(ids)
+    model.prepare(model.tally(ids, rows))
+    model.fit(ids, rows, steps)
+    return model
+
+
+@pytest.mark.parametrize("vocabulary", [300, 5000])
+def test_lm_equals_a_plain_loop(vocabulary):
     r = np.random.default_rng(1)
-    ids = r.integers(0, 300, 500).astype(np.uint32)
-    model = attention_lm.AttentionModel(300)
-    model.prepare(ids)
-    x, _ = model.windows(ids[:40], np.array([0, 40]))
-    z, _ = model.forward(x)
-    p = np.exp(z - z.max(-1, keepdims=True))
-    p /= p.sum(-1, keepdims=True)
-    total = (p[0, 5][model.cluster] * np.exp(model.share)).sum()
-    assert total == pytest.approx(1, abs=1e-4)
-    rows = np.array([0, 40])
-    one, other = ids[:40].copy(), ids[:40].copy()
-    other[30:] = 7
-    assert np.allclose(model.log_chances(one, rows)[:30], model.log_chances(other, rows)[:30], atol=1e-5)
-    alone = model.log_chances(ids[:25], np.array([0, 25]))
-    joint = model.log_chances(ids[:65], np.array([0, 25, 65]))
-    assert np.allclose(alone, joint[:25], atol=1e-5)
+    ids = np.minimum(r.geometric(0.01, 3000), vocabulary - 1).astype(np.uint32)
+    model = fitted(ids, vocabulary, 30)
+    sizes = [5, 0, 1, 24, 25, 100]
+    rows = np.concatenate([[0], np.cumsum(sizes)])
+    found = model.log_chances(ids[: rows[-1]], rows, batch=3)
+    for a, b in zip(rows[:-1], rows[1:], strict=True):
+        assert np.allclose(found[a:b], brute.lm_log_chances(model, ids[a:b].tolist()), atol=1e-4)
+    for before in (ids[:0], ids[:1], ids[:40]):  # over the whole vocabulary chances add up to 1
+        every = np.concatenate([np.append(before, np.uint32(i)) for i in range(vocabulary)]).astype(np.uint32)
+        last = model.log_chances(every, np.arange(vocabulary + 1) * (len(before) + 1))[len(before) :: len(before) + 1]
+        assert np.exp(last.astype(np.float64)).sum() == pytest.approx(1, abs=1e-3)
 
 
 def test_lm_learns():
     ids = np.tile(np.arange(50, dtype=np.uint32), 60)
-    model = attention_lm.AttentionModel(200)
-    model.fit(ids, np.array([0, len(ids)]))
-    assert model.log_chances(ids[:200], np.array([0, 200]))[1:].mean() > -0.5
+    assert fitted(ids, 200, 300).log_chances(ids[:200], np.array([0, 200]))[1:].mean() > -0.5
+    r = np.random.default_rng(2)  # what stands two places before decides, which no table of neighbours knows
+    pairs = np.stack([r.integers(0, 8, 4000), np.full(4000, 9)], axis=1)
+    pairs[1:, 0] = (pairs[0, 0] + np.arange(1, 4000) * 3) % 8
+    model = fitted(pairs.ravel().astype(np.uint32), 20, 600)
+    assert model.log_chances(pairs[:200].ravel().astype(np.uint32), np.array([0, 400]))[40:].mean() > -0.6
 
 
 def vectors():

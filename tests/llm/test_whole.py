@@ -42,6 +42,25 @@ def test_every_word_is_mixed(spark, monkeypatch):
     assert score() == pytest.approx(many)
 
 
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    r = random.Random(16)
+    rows = [(k, " ".join(f"w{int(r.paretovariate(0.6)) % 3000}" for _ in range(80))) for k in range(120)] + [(None, "w1 w2"), (5, "w1"), (5, "w1"), (900, "q" * 4000), (901, None)]
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(attention_lm, "STEPS", 40)
+    found, learn = [], F.coalesce(F.col("doc_id") != 900, F.lit(True))
+    try:
+        for n in (4, 16, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            out = attention_lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(n // 3), learn, path, 49407, 49408)
+            found.append(sorted((x.doc_id or -1, x.n_tokens, x.score) for x in out.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(found[0]) == len(rows) and all(x[2] < -1000 for x in found[0] if x[0] == 900)
+    for other in found[1:]:
+        assert [x[:2] for x in other] == [x[:2] for x in found[0]]
+        assert [x[2] for x in other] == pytest.approx([x[2] for x in found[0]], abs=1e-6)
+
+
 def test_heavy_words_of_one_place():
     words = np.array([5, 5 + (1 << 20), 5 + (2 << 20), 9], np.uint64)
     heavy = attention_lm.HeavyWords(words, np.array([2, 30, 4, 7]))

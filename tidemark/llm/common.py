@@ -24,11 +24,16 @@ def tokenizer_path(name: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = current.get() if current.isDefined() else f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+        if current.isDefined():
+            found = current.get()
+        elif spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+            found = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+        else:  # each executor would write to its own disk, and what is read back would lack the others' parts
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
@@ -59,6 +64,12 @@ def parallel(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def sized(df: DataFrame, text_col: str, bytes_each: int, least: int) -> int:
+    """Buckets of about `bytes_each` bytes of text, and `least` for each partition of an exchange at any rate."""
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(least * parallel(df), -(-size // bytes_each))
+
+
 def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), the smallest node being the name.
 
