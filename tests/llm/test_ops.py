@@ -123,6 +123,63 @@ def test_cut_passages(spark):
     assert left == {1: rows[0][1], 2: "Ä first,  , last", 4: None, None: passage}
 
 
+def test_cut_passages_of_repeated_ids(spark):
+    """A passage is cut from the text that has it, not from another text under its id."""
+    passage, other = " ".join(words(70)), " ".join(words(70))
+    rows = [(1, passage), (7, "x " + passage + " y"), (7, other), (7, other), (8, passage[:100])]
+    docs = frame(spark, rows).withColumns({"__passages": F.lit("clash"), "a": F.lit(1)})
+    left = substring_dedup.cut_passages(docs, substring_dedup.repeated_passages(docs))
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted([(1, passage), (7, "x  y"), (7, other), (7, other), (8, passage[:100])])
+
+
+def test_near_passages_are_found():
+    """At least nine of ten passages of similarity 0.75 or more, of any length and with edits anywhere."""
+    import pyarrow as pa
+    from tidemark.llm import kernel
+
+    r = random.Random(3)
+    fresh = lambda n: [f"z{r.randrange(10**9)}" for _ in range(n)]
+    for n, edits, together in ((50, 1, False), (50, 2, True), (55, 2, True), (60, 2, False), (80, 2, False), (80, 3, True), (100, 3, False), (120, 3, False), (300, 9, False)):
+        found = total = 0
+        while total < 60:
+            base = fresh(n)
+            copy = list(base)
+            at = r.randrange(n - edits + 1)
+            for p in range(at, at + edits) if together else r.sample(range(n), edits):
+                copy[p] = fresh(1)[0]
+            x, y = brute.shingles(" ".join(base)), brute.shingles(" ".join(copy))
+            if len(x & y) < 0.75 * len(x | y):
+                continue
+            total += 1
+            texts = [" ".join([*fresh(40), *w, *fresh(40)]) for w in (base, copy)]
+            hashes, rows = kernel.shingle_hashes(*kernel.word_hashes(*kernel.text_buffer(pa.array(texts))))
+            row, key, _ = substring_dedup.joint_keys(hashes, rows)
+            if set(key[row == 0].tolist()) & set(key[row == 1].tolist()):
+                found += bool(substring_dedup.passages(hashes[rows[1] :], hashes[: rows[1]]))
+        assert found >= 0.9 * total, (n, edits, found)
+
+
+def test_passages_of_many_lengths(spark):
+    """Pieces of popular passages that begin and end anywhere: what the earliest document lacks is found in others."""
+    r = random.Random(5)
+    pool = [f"p{k}" for k in range(3000)]
+    passages, rows = [r.choices(pool, k=150) for _ in range(12)], []
+    for d in range(500):
+        text = r.choices(pool, k=r.randint(0, 60))
+        for _ in range(r.randint(1, 2)):
+            a = r.randint(0, 90)
+            text += passages[min(int(r.paretovariate(0.7)) - 1, 11)][a : a + r.randint(30, 120)] + r.choices(pool, k=r.randint(0, 40))
+        rows.append((d, " ".join(text)))
+    r.shuffle(rows)
+    covered = {}
+    for x in substring_dedup.repeated_passages(frame(spark, rows)).collect():
+        covered.setdefault(x.doc_id, set()).update(range(x.first_word, x.first_word + x.n_words))
+    expected = brute.repeated_words(rows)
+    left = sum(len(hit - covered.get(d, set())) for d, hit in expected.items())
+    assert left <= 0.003 * sum(map(len, expected.values()))  # see the README: ends of a few words
+
+
 def crc(doc):
     return zlib.crc32(str(doc).encode())
 
@@ -202,12 +259,23 @@ def test_planes_round_trip(mode):
         assert (bitplane.unpack_segment(*bitplane.pack_segment(ids, mode, 1), mode) == ids).all()
 
 
+@pytest.mark.parametrize("mode", ["byte", "bit"])
+def test_seek_by_chunk_index(monkeypatch, mode):
+    monkeypatch.setattr(bitplane, "BLOCK_IDS", 64)
+    ids = np.random.default_rng(3).integers(0, 50257, 1000).astype(np.uint32)
+    row = dict(zip(("block_ids", "block_planes", "plane_bytes", "payload"), bitplane.pack_segment(ids, mode, 1), strict=True)) | {"mode": mode}
+    for first, n in ((0, 0), (0, 1), (63, 2), (64, 64), (100, 500), (999, 1), (0, 1000)):
+        assert (bitplane.unpack_range(row, first, n) == ids[first : first + n]).all()
+
+
 @pytest.mark.parametrize("mode", ["byte", "bit"])
 def test_write_and_read_ids(spark, tmp_path, monkeypatch, mode):
     encode = Tokenizer.from_file(BYTE)
     bitplane.write_ids(frame(spark).withColumn("part", F.lit("x")), f"file://{tmp_path}/ids", BYTE, mode=mode)
     found = bitplane.read_ids(spark, f"file://{tmp_path}/ids").select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc")).collect()
     assert named(found, "start", "n_tokens", "crc") == brute.op4([(d, t) for d, t in DOCS], lambda t: encode.encode(t, add_special_tokens=False).ids)
+    wanted = bitplane.seek_ids(spark, f"file://{tmp_path}/ids", [200, 21, 2, 999]).select("doc_id", "n_tokens", F.crc32("ids").alias("crc")).collect()
+    assert named(wanted, "n_tokens", "crc") == {d: named(found, "n_tokens", "crc")[d] for d in (200, 21, 2)}
     bitplane.write_ids(frame(spark, []), f"file://{tmp_path}/none", BYTE)
     assert bitplane.read_ids(spark, f"file://{tmp_path}/none").count() == 0
 

@@ -62,3 +62,17 @@ def test_empty_tables(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_repeated_ids(spark, tmp_path):
+    """Under one id a copy goes, and another text stays whole through both stages of duplicates."""
+    a, b, c = text("aa", 120), text("aa", 120), text("bb", 70)
+    rows = [(3, a, "aa"), (7, a, "aa"), (7, b, "bb"), (8, b + " end", "aa"), (9, c, "aa"), (9, c, "bb"), (10, text("aa", 60) + " " + c, "aa"), (10, c[::-1], "aa"), (None, a, "aa"), (None, None, None), (11, None, "aa"), (11, None, "aa"), (12, "", "aa")]
+    docs = spark.createDataFrame([(d, t, lang, "s", len(t or "")) for d, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long").withColumns({"hash": F.lit(1), "class": F.lit("x"), "n": F.lit(0)})
+    kept = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    expected = [(3, a), (7, b), (9, c), (10, rows[6][1]), (10, c[::-1]), (None, a), (None, None), (11, None), (12, "")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(expected, key=str)
+    assert [r.lang for r in kept.collect() if r.doc_id == 9] == ["aa"]
+    cut = {(r.doc_id, r.text) for r in corpus_pipeline.cut_repeated_passages(spark, kept, str(tmp_path)).collect()}
+    assert {(3, a), (7, b), (9, c), (10, c[::-1]), (None, a)} <= cut and all(c not in t for d, t in cut if d == 10)

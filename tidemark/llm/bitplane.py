@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .common import parallel
 from .kernel import lean, row_blocks, text_buffer, tokenizer, with_end
 
@@ -115,11 +116,50 @@ def write_ids(docs: DataFrame, to: str, path: str, kind: str = "byte", end_id: i
     Null and empty texts have the end id alone; a null id comes first; rows of one id are ordered by
     text. Only the two named columns are read. An empty table gives an empty file set.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = rows.repartitionByRange(parallel(docs), "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_write(path, kind, end_id, mode, level), SEGMENTS).write.option("compression", "none").parquet(to)
 
 
+def unpack_range(row: dict, first: int, n: int) -> np.ndarray:
+    """Ids `first` to `first + n` of a segment's row: by the chunk index only the blocks that hold them are decompressed."""
+    ends = np.cumsum(row["block_ids"])
+    a, b = int(np.searchsorted(ends, first, "right")), int(np.searchsorted(ends, first + n, "left")) + 1
+    plane = np.concatenate([[0], np.cumsum(row["block_planes"])])
+    at = np.concatenate([[0], np.cumsum(row["plane_bytes"])])
+    own = row["plane_bytes"][plane[a] : plane[b]] if n else []
+    payload = row["payload"][at[plane[a]] : at[plane[b]]] if n else b""
+    ids = unpack_segment(row["block_ids"][a:b] if n else [], row["block_planes"][a:b] if n else [], own, payload, row["mode"])
+    skip = first - int(ends[a - 1] if a else 0)
+    return ids[skip : skip + n]
+
+
+def _seek(wanted: list[int]):
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                ends = np.cumsum(row["doc_tokens"])
+                for k in np.flatnonzero(np.isin(np.array([-1 if d is None else d for d in row["doc_ids"]]), wanted)).tolist():
+                    if row["doc_ids"][k] is not None:
+                        n = row["doc_tokens"][k]
+                        out.append((row["doc_ids"][k], n, unpack_range(row, int(ends[k]) - n, n).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "n_tokens", "ids"])
+
+    return run
+
+
+def seek_ids(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """doc_id, n_tokens, ids of a few documents. Segments whose range of ids holds none of them are
+    not unpacked, and of the others only the blocks that the chunk index names. Repeated ids give all
+    their rows, unknown ones none."""
+    ship(spark)
+    found = spark.read.schema(SEGMENTS).parquet(path)
+    near = F.exists("doc_ids", lambda d: d.isin(*doc_ids)) if doc_ids else F.lit(False)
+    return found.where(near).mapInArrow(lean(_seek(sorted(doc_ids))), "doc_id long, n_tokens long, ids binary")
+
+
 def _read(shared):
     def run(batches):
         base = shared.value
@@ -146,6 +186,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
     The driver adds up one number for each part file; their count is the writer's partition count.
     """
+    ship(spark)
     found = spark.read.schema(SEGMENTS).parquet(path)
     totals = {r.part: r.n for r in found.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
     base, total = {}, 0

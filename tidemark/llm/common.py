@@ -38,15 +38,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def spill(df: DataFrame, name: str, row_group: int = 32 << 20) -> DataFrame:
     """`df` written as a table in the shared folder and read again: lineage ends here, and a lost
-    executor costs nothing that came before. The JVM is asked to collect garbage, so that Spark
-    drops the shuffle files that led here. Row groups of at most `row_group` bytes bound a writer's
-    memory. `discard` removes a table that is no longer needed; the folder's owner removes the rest."""
+    executor costs nothing that came before. Spark removes the shuffle files of the write once it is
+    done. Row groups of at most `row_group` bytes bound a writer's memory. `discard` removes a table
+    that is no longer needed; the folder's owner removes the rest."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("parquet.block.size", row_group).parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("parquet.block.size", row_group).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    spark.sparkContext._jvm.System.gc()  # broadcast blocks of former steps leave the executors with their last reference here
     out = spark.read.schema(df.schema).parquet(path)
     out.spilled_to = path
     return out

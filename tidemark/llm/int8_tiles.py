@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .common import components, spill
 from .kernel import lean, lean_group
 
@@ -132,6 +133,7 @@ def cosine_components(vectors: DataFrame, threshold: float = 0.9, id_col: str =
     components link with nothing. Repeated rows link with each other. A row without an id links
     with nothing and has a null component. Only the two named columns are read.
     """
+    ship(vectors.sparkSession)
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .common import components, discard, parallel, spill
 from .kernel import lean, lean_group, mix, row_blocks, shingle_hashes, text_buffer, word_hashes
 
@@ -72,7 +73,7 @@ def class_key(found: np.ndarray) -> int:
 #: Longs of a set's parity bitmap: bit k tells whether an odd number of its hashes fall on k.
 BITS = 8
 _BITS = [f"bits{k}" for k in range(BITS)]
-_PROFILE = "doc_id long, n int, class long, slots int, counts binary, " + ", ".join(f"{b} long" for b in _BITS)
+_PROFILE = "doc_id long, text_hash long, n int, class long, slots int, counts binary, " + ", ".join(f"{b} long" for b in _BITS)
 
 
 def parity(found: np.ndarray) -> np.ndarray:
@@ -90,11 +91,11 @@ def _profile(width: int):
                 bits.append(parity(found)[None])
                 np.add.at(counts, (found >> _U(64 - SLOT_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(size))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), pa.array(key, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary()), *(pa.array(x) for x in np.concatenate(bits).T)], ["doc_id", "n", "class", "slots", "counts", *_BITS])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(size, pa.int32()), pa.array(key, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary()), *(pa.array(x) for x in np.concatenate(bits).T)], ["doc_id", "text_hash", "n", "class", "slots", "counts", *_BITS])
         pieces = [(k, counts[k * SLOT_PIECE : (k + 1) * SLOT_PIECE]) for k in range(len(counts) // SLOT_PIECE)]
         pieces = [(k, x.tobytes()) for k, x in pieces if x.any()]
         none = pa.nulls(len(pieces))
-        yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), pa.array([k for k, _ in pieces], pa.int32()), pa.array([x for _, x in pieces], pa.binary()), *[none.cast(pa.int64())] * BITS], ["doc_id", "n", "class", "slots", "counts", *_BITS])
+        yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), pa.array([k for k, _ in pieces], pa.int32()), pa.array([x for _, x in pieces], pa.binary()), *[none.cast(pa.int64())] * BITS], ["doc_id", "text_hash", "n", "class", "slots", "counts", *_BITS])
 
     return run
 
@@ -109,12 +110,12 @@ def _sum_counts(batches):
 
 
 def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> tuple[DataFrame, np.ndarray]:
-    """Rows (doc_id, n, class and the parity bitmap), written; and how far above the mean each slot's count stands.
+    """Rows (doc_id, text_hash, n, class and the parity bitmap), written; and how far above the mean each slot's count stands.
 
     The counts cover all documents; their table has 2**SLOT_BITS slots at any input size, so what
     the driver takes in and sends out again is 2 MB. Slots below the noise of the mean count as 0.
     """
-    both = spill(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(_profile(width)), _PROFILE), "profile")
+    both = spill(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col).cast("string"))).mapInArrow(lean(_profile(width)), _PROFILE), "profile")
     pieces = both.where("slots is not null").select("slots", "counts").repartition(parallel(docs), "slots").mapInArrow(lean(_sum_counts), "slots int, counts binary").collect()
     counts = np.zeros(1 << SLOT_BITS, np.float64)
     for k, x in pieces:
@@ -244,8 +245,8 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int = 5) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(lean(_linked(width)), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """One row for each row of `docs`: doc_id, n_shingles, component_id.
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, hashed: bool = False) -> DataFrame:
+    """One row for each row of `docs`: doc_id, n_shingles, component_id, and `hashed` text_hash (Spark's xxhash64 of the text).
 
     component_id is the smallest id reachable by links, the document's own included. Null, empty and
     wordless texts have n_shingles 0 and link with nothing; a text of fewer than `width` words is one
@@ -253,6 +254,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     unless it equals a document that has one. Only the two named columns are read. An empty table
     gives an empty result.
     """
+    ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows, above = profile(docs, "doc_id", "text", width)
     classes = spill(rows.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), *(F.max(b).alias(b) for b in _BITS)), "classes")
@@ -292,4 +294,4 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = spill(named, "named")
     discard(classes, edges, pairs)
     out = rows.join(named, "class", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), *(["text_hash"] if hashed else []))

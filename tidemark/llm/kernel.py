@@ -3,7 +3,7 @@
 Words are found at byte level: every separator that the contracts name is an ASCII byte, and an
 ASCII byte never occurs inside a multi-byte UTF-8 sequence. A word's hash is a polynomial over
 random 64-bit values of its bytes, taken from one running sum, so no Python string is made.
-All work is done in blocks of about `BLOCK` bytes, which bounds memory for any text length.
+Rows are taken in blocks of about `BLOCK` bytes; a longer row is one block, whose arrays grow with it.
 """
 
 from __future__ import annotations

@@ -13,14 +13,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .kernel import lean, row_blocks, text_buffer
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 EMBEDDED = 8
-#: Bounds of the training sample: documents of each language, windows of each document.
+#: Bounds of the training sample: documents of each language, characters of each document, windows of these.
 DOCS_PER_LANGUAGE = 500
+CHARS_PER_DOC = 16384
 WINDOWS_PER_DOC = 12
 STEPS = 1200
 BATCH = 128
@@ -111,13 +113,16 @@ class ByteNetwork:
 def train(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> ByteNetwork | None:
     """A network fitted on rows where `learn` holds and the label is not null: at most about
     DOCS_PER_LANGUAGE documents of each language, chosen by a hash of the id, and WINDOWS_PER_DOC
-    windows from anywhere in each. None if there is no such text."""
+    windows of CHARS_PER_DOC characters from anywhere in each. None if there is no such text."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("lang")).where(learn & F.col("lang").isNotNull() & (F.length("text") > 0))
     counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, DOCS_PER_LANGUAGE / n))))
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.get(F.array(share), F.lit(0))[F.col("lang")] * (1 << 30)).select("doc_id", "text", "lang").collect()
+    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.get(F.array(share), F.lit(0))[F.col("lang")] * (1 << 30))
+    start = F.pmod(F.xxhash64("doc_id", "lang"), F.greatest(F.length("text") - CHARS_PER_DOC, F.lit(0)) + 1).cast("int") + 1
+    picked = picked.select("doc_id", F.substr("text", start, F.lit(CHARS_PER_DOC)).alias("text"), "lang").collect()
     if not picked:
         return None
     picked.sort(key=lambda p: (str(p.doc_id), p.text))
@@ -168,8 +173,10 @@ def identify(docs: DataFrame, network: ByteNetwork | None, text_col: str = "text
     """`docs` and the columns lang_pred and score (the mean chance of that language).
 
     Null texts and texts without a letter are "und" with score 0, as are all without a network.
-    The prediction depends on the text alone; columns of the two names are replaced.
+    The prediction depends on the text alone, so repeated rows have equal ones and equal chances go to
+    the language that comes first; columns of the two names are replaced.
     """
+    ship(docs.sparkSession)
     out = docs.drop("lang_pred", "score")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     shared = docs.sparkSession.sparkContext.broadcast(network)

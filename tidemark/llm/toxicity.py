@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .kernel import ALNUM, LOWER, Memo, kept, mix, row_blocks, seeds, shingle_hashes, text_buffer, word_bounds, word_hashes
 
 #: Bounds of the training sample: documents of label 0 and of label 1.
@@ -207,6 +208,7 @@ def learn(toxic: list[Counter], clean: list[Counter], weight: float = 1.0) -> Le
 
 def train(docs: DataFrame, labels: DataFrame, chosen, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Lexicon:
     """A lexicon from labelled rows where `chosen` holds: at most about DOCS_PER_LABEL texts of each label, by a hash of the id."""
+    ship(docs.sparkSession)
     marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label")).where("label in (0, 1)").where(chosen("id"))
     counts = {r.label: r["count"] for r in marks.groupBy("label").count().collect()}
     share = {k: min(1.0, DOCS_PER_LABEL[k] / max(counts.get(k, 0), 1)) for k in (0, 1)}
@@ -293,8 +295,10 @@ def score(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> DataFram
     """`docs` and the columns score (0 to 1) and n_hits (words that match a term).
 
     Terms count as independent signs, each with its number of occurrences and its most telling one. Null and empty texts
-    score 0. The score depends on the text alone; columns of the two names are replaced.
+    score 0. The score depends on the text alone, so repeated rows have equal ones; of a word's terms at
+    one distance the first learned counts; columns of the two names are replaced.
     """
+    ship(docs.sparkSession)
     out = docs.drop("score", "n_hits")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     context = docs.sparkSession.sparkContext
