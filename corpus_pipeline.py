@@ -29,6 +29,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: rows whose text has a letter and one likely language stay. Null and empty texts go.
+    Every row is judged by its own whole text, repeated rows alike.
 
     The network learns from the rows of `docs` whose crc32 of the id, modulo 4, isn't 2.
     """
@@ -38,19 +39,35 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: the row with the smallest id of each group stays, once if it is repeated; rows without an id stay."""
-    found = jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    named, unnamed = docs.where("doc_id is not null"), docs.where("doc_id is null")
-    return named.join(spill(found, "copies"), "doc_id", "left_anti").select(*COLUMNS).distinct().unionByName(unnamed.select(*COLUMNS))
+    """N-gram Jaccard join: the row with the smallest id of each group stays, once if id and text are repeated
+    (with the smallest lang, source and n_chars); rows without an id stay. A text is judged by itself: under
+    one id a copy goes and another text stays. Null, empty and wordless texts are copies of nothing, and
+    very long texts are compared whole.
+    """
+    found = spill(jaccard_components(docs, hashed=True).where("doc_id is not null"), "groups")
+    copies = found.where("doc_id <> component_id").select("doc_id", F.col("text_hash").alias("hash"))
+    again = found.where("doc_id = component_id").groupBy("doc_id", F.col("text_hash").alias("hash")).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    rows = docs.select(*COLUMNS, F.xxhash64(F.col("text").cast("string")).alias("hash"))
+    key, rest = ["doc_id", "hash"], [c for c in COLUMNS if c not in ("doc_id", "text")]
+    once = rows.where("doc_id is not null").join(copies.union(again).distinct(), key, "left_anti")
+    more = rows.join(again, key, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("r")).select("doc_id", "text", "r.*")
+    return once.select(*COLUMNS).unionByName(more).unionByName(rows.where("doc_id is null").select(*COLUMNS))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Substring dedup: passages that an earlier document has too are cut; a row without a word left goes."""
+    """Substring dedup: passages that an earlier document has too are cut; a row without a word left goes.
+
+    Rows of one id are not compared with each other, and each is cut by its own text only; of equal
+    passages the one with the smallest id stays. Null and short texts stay; long ones are read whole.
+    """
     return _counted(cut_passages(docs.select(*COLUMNS), repeated_passages(docs)))
 
 
 def remove_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Decontamination: words inside windows of test items are cut; rows in which they are most of the words go."""
+    """Decontamination: words inside windows of test items are cut; rows in which they are most of the words go.
+
+    Every row is judged by its own text, repeated rows alike; null and empty texts stay; long ones are read whole.
+    """
     return _counted(decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")))
 
 
