@@ -50,3 +50,9 @@ def test_entry(spark):
 def test_native_overlap_has_no_python_and_no_shuffle(spark):
     plan = __spark_entry__.queries()["overlap_lines"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_overlap_is_computed_once(spark):
+    """No filter on the exploded array reaches the scan with the whole expression in it."""
+    plan = __spark_entry__.queries()["overlap_lines"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with") <= 2 and "Filter (size(" not in plan

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,3 +15,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     exponentially in the plan.
     """
     return F.get(F.transform(F.array(value), lambda bound: body(bound)), F.lit(0))
+
+
+def exploded(frame: DataFrame, array: str, alias: str) -> DataFrame:
+    """`frame` with one row for each element of an array column, which is computed once for each row.
+
+    A plain explode makes Spark infer a filter on the array's size, push it to the scan and compute
+    the array there as well.
+    """
+    rest = [c for c in frame.columns if c != array]
+    return frame.select(*rest, F.explode_outer(array).alias(alias)).where(F.col(alias).isNotNull())

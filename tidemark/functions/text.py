@@ -9,7 +9,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WS = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -29,7 +29,7 @@ def rstrip(text: Column) -> Column:
 
 
 def fold(text: Column) -> Column:
-    """Case folding as far as built-in functions go: lower case, and ß as ss."""
+    """Case folding as far as built-in functions go: lower case, and ß as ss. `exact_fold` does the rest."""
     return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
 
 
@@ -37,15 +37,15 @@ def _casefold(text: pd.Series) -> pd.Series:
     return text.str.casefold()
 
 
-def _unescape(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
-
-
 def exact_fold(text: Column) -> Column:
     """Full Unicode case folding, in Arrow batches."""
     return F.pandas_udf(_casefold, "string").asNondeterministic()(text)
 
 
+def _unescape(text: pd.Series) -> pd.Series:
+    return text.map(html.unescape, na_action="ignore")
+
+
 def unescape_entities(text: Column) -> Column:
     """All HTML character references, in Arrow batches. Kept out of the expressions around it, which may be higher-order."""
     return F.pandas_udf(_unescape, "string").asNondeterministic()(text)
@@ -72,12 +72,24 @@ def squeeze(text: Column) -> Column:
 def clean_caption_text(text: Column) -> Column:
     """Inline timestamps and tags out, line breaks and the common entities decoded, white space squeezed.
 
-    Entities beyond ENTITIES stay; decode them first with `unescape_entities` between `without_tags`
-    and `squeeze` where a text has others. Null stays null.
+    Native; entities beyond ENTITIES stay. `with_clean_text` decodes all. Null stays null.
     """
     return squeeze(decode_entities(without_tags(text)))
 
 
+def has_other_entities(text: Column) -> Column:
+    """Whether character references are left besides ENTITIES."""
+    return F.coalesce(F.regexp_replace(text, "|".join(e for e, _ in ENTITIES), "").rlike(r"&#?[A-Za-z0-9]"), F.lit(False))
+
+
+def with_clean_text(frame: DataFrame, column: str, to: str) -> DataFrame:
+    """`frame` with `clean_caption_text` of a column and every HTML character reference decoded: the
+    common ones natively, and only texts with others go through Python."""
+    out = frame.withColumn("_plain", without_tags(F.col(column)))
+    out = out.withColumn("_other", unescape_entities(F.when(has_other_entities(F.col("_plain")), F.col("_plain"))))
+    return out.withColumn(to, squeeze(F.coalesce("_other", decode_entities(F.col("_plain"))))).drop("_plain", "_other")
+
+
 def tokens(text: Column) -> Column:
     return F.filter(F.split(text, f"{WS}+", -1), lambda t: t != "")
 

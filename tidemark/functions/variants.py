@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 
 def kind(value: Column) -> Column:
     """STRING, BOOLEAN, BIGINT, DOUBLE, DECIMAL, VOID, OBJECT or ARRAY; null where there is no value."""
@@ -17,7 +19,7 @@ def at(value: Column, path: str) -> Column:
 
 def text(value: Column, path: str) -> Column:
     """A string value; null for all other types."""
-    return F.when(kind(at(value, path)) == "STRING", F.try_variant_get(value, path, "string"))
+    return let(at(value, path), lambda v: F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string")))
 
 
 def truthy(value: Column) -> Column:

@@ -38,6 +38,7 @@ def _fields(fields: Column) -> Column:
     )
 
 
+#: The messages below, which callers compare.
 def _message(value: Column, fields: Column, f: Column) -> Column:
     is_object = F.coalesce(value.rlike(r"(?s)\A\s*\{"), F.lit(False))
     is_json = F.coalesce(F.try_parse_json(value).isNotNull(), F.lit(False)) | (is_object & fields.isNotNull())

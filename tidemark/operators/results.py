@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from ..functions.text import WS, classify_failure, sha256_text, strip
 from ..functions.urls import VIDEO_ID, site_url
 from ..functions.variants import at, kind, spelled, text, truthy
@@ -67,13 +68,19 @@ def build_results(requests: DataFrame, provenance: Column | None = None) -> Data
     )
 
 
+def final_status(results: DataFrame) -> DataFrame:
+    """request_id, line (what a run reports) and failure (null where the run ends well)."""
+    bad = F.col("status").isin("access_blocked", "error")
+    return results.select("request_id", F.concat(F.lit("status="), "status").alias("line"), F.when(bad, F.coalesce(F.nullif("error", F.lit("")), "status")).alias("failure"))
+
+
 def violations(result: Column, transcript: Column, artifacts: Column, versions: Column) -> Column:
-    """The ids of all violated rules, in order, of a result (VARIANT), its transcript text (null if absent),
-    its artifacts' relative paths and the contract's tool versions (map)."""
+    """The ids of all violated rules, in order, of a result (VARIANT), its transcript text with plain line
+    feeds (null if absent), its artifacts' relative paths and the contract's tool versions (map)."""
     source_type, video = text(result, "$.source.type"), spelled(at(result, "$.source.video_id"))
     provenance, target = at(result, "$.runtime_provenance"), spelled(at(result, "$.runtime_provenance.execution_target"))
     status, caption, cues = text(result, "$.status"), at(result, "$.caption"), at(result, "$.caption.cue_count")
-    body = F.regexp_replace(transcript, "\r\n?", "\n")
+    body = transcript
     known = lambda c, *values: F.coalesce(c.isin(*values), F.lit(False))
     ok, bad = status == "ok", status != "ok"
     absent = lambda v: v.isNull() | (kind(v) == "VOID")
@@ -121,6 +128,7 @@ def validate_results(results: DataFrame, transcripts: DataFrame, artifacts: Data
     paths = artifacts.groupBy(by).agg(F.sort_array(F.collect_set("rel_path")).alias("_paths"))
     out = results.join(transcripts.select(by, F.col("transcript").alias("_transcript")), by, "left").join(paths, by, "left")
     pins = F.create_map(*(F.lit(x) for pair in versions.items() for x in pair)) if versions else F.create_map().cast("map<string,string>")
-    value = F.try_parse_json(value_col)
-    found = F.when(value.isNull(), F.array(F.lit("V0"))).otherwise(violations(value, F.col("_transcript"), F.coalesce("_paths", F.array().cast("array<string>")), pins))
+    files = F.coalesce("_paths", F.array().cast("array<string>"))
+    checked = lambda v: F.when(v.isNull(), F.array(F.lit("V0"))).otherwise(let(F.regexp_replace("_transcript", "\r\n?", "\n"), lambda body: let(files, lambda paths: violations(v, body, paths, pins))))
+    found = let(F.try_parse_json(value_col), checked)
     return out.withColumn("violations", found).withColumn("first_violation", F.get("violations", F.lit(0))).drop("_transcript", "_paths")

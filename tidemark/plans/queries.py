@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..functions.binding import exploded
 from ..functions.urls import BAD_AUTHORITY, BAD_SITE, BAD_VIDEO, canonical_url
 from ..operators import audit, cues, manifest, requests, results, sarif, status, tracks
-from ..session import ship
+from ..session import scratch, ship
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,7 +58,7 @@ lines AS (SELECT id, line, row_number() OVER (PARTITION BY id ORDER BY j) - 1 AS
 
 @query(f"WITH {DOCUMENT_LINES}, {OVERLAP} SELECT id AS doc_id, i AS line_no, residual FROM kept WHERE residual <> ''")
 def overlap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = cues.without_overlap(document_cues(spark, sf_dir)).select("doc_id", F.explode("segments").alias("s"))
+    found = exploded(cues.without_overlap(document_cues(spark, sf_dir)).select("doc_id", "segments"), "segments", "s")
     return found.select("doc_id", F.col("s.start").cast("long").alias("line_no"), F.col("s.text").alias("residual"))
 
 
@@ -66,7 +67,7 @@ def overlap_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.createDataFrame(fx.rolling_cues(), "seq int, i long, text string")
     talks = rows.groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("i", "text"))).alias("c"))
     talks = talks.select("seq", F.transform("c", lambda x: F.struct(x["i"].cast("string").alias("start"), F.lit(None).cast("string").alias("end"), x["text"].alias("text"))).alias("cues"))
-    found = cues.without_overlap(talks).select("seq", F.explode("segments").alias("s"))
+    found = exploded(cues.without_overlap(talks).select("seq", "segments"), "segments", "s")
     return found.select("seq", F.col("s.start").cast("long").alias("i"), F.col("s.text").alias("residual"))
 
 
@@ -81,7 +82,7 @@ def _clean_sql(x: str) -> str:
 
 @query(f"SELECT page_id, {_clean_sql('html')} AS text FROM pages")
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", t.clean_caption_text(F.col("html")).alias("text"))
+    return t.with_clean_text(table(spark, sf_dir, "pages").select("page_id", "html"), "html", "text").select("page_id", "text")
 
 
 @query(f"""WITH {DOCUMENT_LINES}, {OVERLAP},
@@ -219,7 +220,7 @@ def term_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against a short fixed list of terms: the list is a literal of the plan, so nothing is joined."""
     folded = table(spark, sf_dir, "documents").select("doc_id", t.fold(F.col("text")).alias("folded"))
     hits = F.filter(F.array(*map(F.lit, fx.TERMS)), lambda x: F.contains(F.col("folded"), x))
-    return folded.select("doc_id", F.explode(hits).alias("term"))
+    return exploded(folded.select("doc_id", hits.alias("hits")), "hits", "term")
 
 
 @query("SELECT doc_id::VARCHAR AS path, sha256(text) AS sha256 FROM documents")
@@ -248,17 +249,18 @@ def subtitle_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("name", F.posexplode("segments").alias("pos", "s")).select("name", "pos", "s.start", "s.end", "s.text")
 
 
-@query()
+@query(f"""WITH r AS ({SQL['request_contract']}), q AS (SELECT *, CASE WHEN id < 3 THEN 'req-' || (id + 1) ELSE 'file' || id END || '.json' AS file_name FROM r),
+m AS (SELECT *, coalesce(message_, CASE WHEN file_name <> request_id || '.json' THEN 'file name must equal request_id' END) AS message FROM q)
+SELECT file_name, message, CASE WHEN message IS NULL THEN request_id END AS request_id, CASE WHEN message IS NULL THEN url END AS url, CASE WHEN message IS NULL THEN language END AS language FROM m""")
 def queue_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixed requests as queued files, drained by a stream; one file has a wrong name."""
-    import tempfile
-    import uuid
-
     from ..sources.files import put_text
     from ..streaming.queue import drain, request_stream, resolve_stream
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
-    base = f"{base.rstrip('/')}/queue-{uuid.uuid4().hex}"
+    base = scratch(spark, "queue")
     for k, value in enumerate(fx.REQUESTS):
         put_text(spark, f"{base}/in/{f'req-{k + 1}' if k < 3 else f'file{k}'}.json", value)
     return drain(resolve_stream(request_stream(spark, f"{base}/in", 4)), f"{base}/out", f"{base}/state")
+
+
+from . import records  # noqa: E402, F401  (registers its queries)

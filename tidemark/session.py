@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -27,3 +28,13 @@ def ship(spark: SparkSession) -> None:
         for source in sorted(top.rglob("*.py")):
             packed.write(source, source.relative_to(top.parent))
     context.addPyFile(str(path))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir, which driver and executors share; on one machine a temporary one will do."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.gettempdir()}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

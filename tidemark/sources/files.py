@@ -28,6 +28,23 @@ def relative(path: Column, root: str) -> Column:
     return F.substr(path, F.instr(path, root) + len(root.rstrip("/")) + 1)
 
 
+def write_resolved(requests: DataFrame, path: str) -> None:
+    """The accepted requests (a column `request` from `resolve_requests`) as JSON lines, without the message."""
+    good = requests.where("request is not null and request.message is null").select("request.*").drop("message")
+    good.write.mode("overwrite").json(path)
+
+
+def read_resolved(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("schema_version string, enabled boolean, request_id string, url string, video_id string, source_type string, language string").json(path)
+
+
+def keep_run(results: DataFrame, path: str, stamp: str) -> str:
+    """Results below a folder of their own run, so that former runs stay; gives that folder. A stamp that is taken is an error."""
+    place = f"{path}/run={stamp}"
+    results.write.mode("errorifexists").option("ignoreNullFields", "false").json(place)
+    return place
+
+
 def write_results(results: DataFrame, path: str) -> None:
     """Results as JSON and transcripts as text, both partitioned by request; a request's former files are replaced."""
     results.drop("transcript").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("request_id").option("ignoreNullFields", "false").json(f"{path}/results")
