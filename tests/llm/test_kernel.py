@@ -59,3 +59,17 @@ def test_sliced_arrays():
     column = pa.array(["aa", "bb cc", "dd"])[1:]
     data, offsets = k.text_buffer(column)
     assert data.tobytes() == b"bb ccdd" and offsets.tolist() == [0, 5, 7]
+
+
+PIECES = ["a", "B", "J̌", "don't", "'s", "'S", "''re", "'ll", "I'M", "0", "12", "x0y", "<|endoftext|>", "<|ENDOFTEXT|>", "|", "<", ">", ".", "$$$", "é", "É", "İ", "Σ", "́", " ", " ", "\n", "中", "٣", "\x00", "\x1c", "\x7f", " ", "K", "_", "‍", "ſ", "t", "d", "'ve"]
+
+
+@pytest.mark.parametrize("control", [True, False])
+def test_parts_of_words_are_exact(control):
+    """Words are cut into parts and encoded together; the ids are those of the whole text."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["".join(R.choices(PIECES, k=R.randrange(14))) for _ in range(3000)]
+    texts = texts if control else [t.replace("<|", "<") for t in texts]
+    ids, rows = k.MemoTokenizer(path, "word").encode(*k.text_buffer(pa.array(texts)))
+    found = [ids[a:b].tolist() for a, b in zip(rows[:-1], rows[1:], strict=True)]
+    assert found == [e.ids for e in Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)]

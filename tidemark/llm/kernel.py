@@ -206,22 +206,73 @@ class MemoTokenizer(Memo):
 
     A text is cut only where the tokenizer's own pre-tokenizer always cuts, so the ids of a text
     are those of its segments one after another. `kind` "word" (white space is dropped by the
-    tokenizer) cuts at ASCII white space; "byte" (white space belongs to tokens) cuts before a
-    space, and around a lone line feed, that stands before a visible character.
+    tokenizer, which lower-cases) has words between ASCII white space as segments, and keeps the ids
+    of their parts: letters, digits and marks, cut as `CUTS` allows. "byte" (white space belongs to
+    tokens) cuts before a space, and around a lone line feed, that stands before a visible character.
     """
 
+    #: Classes of bytes: 0 for those beside which no word is cut (white space, controls, the bar of
+    #: the tokenizers' control strings, all that is not ASCII), then letters, digits, marks, apostrophe.
+    KINDS = np.array([1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 4 if b == 0x27 else 3 if 0x20 < b < 0x7F and b != 0x7C else 0 for b in range(128)] + [0] * 128, np.uint8)
+    #: CUTS[8 * kind + next kind]: a part ends between the two. Marks and apostrophes are one run, and an apostrophe may belong to the letters after it.
+    CUTS = np.array([1 <= a <= 4 and 1 <= b <= 4 and a != b and not (a > 2 and b > 2) and (a, b) != (4, 1) for a in range(8) for b in range(8)], bool)
+    #: What stands between the parts that are encoded together: one id, and no part with it in it is among them.
+    BETWEEN = "0"
+
     def __init__(self, path: str, kind: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        if kind == "word":  # for parts of a to z, which nothing before the model changes or divides
+            self.letters = Tokenizer.from_file(path)
+            self.letters.normalizer, self.letters.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         super().__init__()
 
     def compute(self, texts: list[str]) -> list[list[int]]:
+        if self.kind == "word" and len(texts) > 1:
+            return self._together(texts)
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _together(self, texts: list[str], batch: int = 512) -> list[list[int]]:
+        """Ids of many short texts, which are encoded joined and divided at the ids of BETWEEN."""
+        mark = self.tokenizer.encode(self.BETWEEN, add_special_tokens=False).ids
+        out: list = [None] * len(texts)
+        plain = [x.isascii() and x.islower() and x.isalpha() for x in texts]
+        for tokenizer, fit in ((self.letters, True), (self.tokenizer, False)):
+            held = [k for k, x in enumerate(texts) if plain[k] is fit and self.BETWEEN not in x] if len(mark) == 1 else []
+            groups = [held[a : a + batch] for a in range(0, len(held), batch)]
+            joined = tokenizer.encode_batch_fast([f" {self.BETWEEN} ".join([texts[k] for k in g]) for g in groups], add_special_tokens=False)
+            for g, e in zip(groups, joined, strict=True):
+                ids = e.ids
+                ends = [k for k, i in enumerate(ids) if i == mark[0]]
+                if len(ends) == len(g) - 1:
+                    for k, a, b in zip(g, [0, *(x + 1 for x in ends)], [*ends, len(ids)], strict=True):
+                        out[k] = ids[a:b]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = e.ids
+        return out
+
+    def _parts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes with letters lowered, the parts' starts and ends, and each word's first part.
+
+        A letter before a byte that isn't ASCII keeps its case: the two may be one character to the tokenizer.
+        With a control string's beginning in the bytes all letters keep theirs.
+        """
+        kinds = self.KINDS[data]
+        cut = np.flatnonzero(self.CUTS[kinds[:-1] * 8 + kinds[1:]]) + 1
+        first, last = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+        first[starts], last[ends] = True, True
+        cut = cut[~first[cut]]
+        first[cut], last[cut] = True, True
+        begin = np.flatnonzero(first)
+        if b"<|" not in data.tobytes():
+            data = np.where(np.append(data[1:] < 0x80, True), LOWER[data], data)
+        return data, begin, np.flatnonzero(last), np.searchsorted(begin, starts)
+
     def segments(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.kind == "word":
             return word_bounds(data, offsets, SPACED)
@@ -240,9 +291,14 @@ class MemoTokenizer(Memo):
     def encode_segments(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all rows one after another, each segment's number of ids, and row offsets into the segments."""
         starts, ends, rows = self.segments(data, offsets)
+        if self.kind == "word" and len(starts):
+            data, starts, ends, word = self._parts(data, starts, ends)
+        else:
+            word = None
         entry = self.entries(data, starts, ends)
         size = self.size[entry].astype(np.int64)
-        return self.ids[expand(self.first[entry], size)], size, rows
+        ids = self.ids[expand(self.first[entry], size)]
+        return ids, size if word is None else np.add.reduceat(size, word), rows
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and row offsets into them."""
@@ -281,22 +337,22 @@ def give_back() -> None:
         libc.malloc_trim(0)
 
 
-def lean(run):
-    """A function over Arrow batches that keeps nothing of former tasks, and gives its memory back at its end."""
+def lean(run, key=None):
+    """A function over Arrow batches that keeps nothing of former tasks but what has this key, and gives its memory back at its end."""
 
     def leaner(batches):
-        kept()
+        kept(key)
         yield from run(batches)
         give_back()
 
     return leaner
 
 
-def lean_group(run):
+def lean_group(run, key=None):
     """The same for a function of one group."""
 
     def leaner(group):
-        kept()
+        kept(key)
         out = run(group)
         _GROUPS[0] += 1
         if _GROUPS[0] % 16 == 0:
@@ -309,9 +365,13 @@ def lean_group(run):
 _GROUPS = [0]
 
 
+def tokenizer_key(path: str, kind: str) -> tuple:
+    return "tokenizer", path, kind
+
+
 def tokenizer(path: str, kind: str) -> MemoTokenizer:
     """This worker's tokenizer for the file."""
-    return kept(("tokenizer", path, kind), lambda: MemoTokenizer(path, kind))
+    return kept(tokenizer_key(path, kind), lambda: MemoTokenizer(path, kind))
 
 
 def with_end(ids: np.ndarray, rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
