@@ -421,10 +421,15 @@ def test_decontamination(spark, monkeypatch, per_pass):
     assert len(none) == len(rows) and all(r.spans == [] and r["items"] == [] for r in none)
 
 
-def test_decontaminate_cuts(spark):
+@pytest.mark.parametrize("per_pass", [250_000, 3])
+def test_decontaminate_cuts(spark, monkeypatch, per_pass):
+    monkeypatch.setattr(decontaminate, "WORDS_PER_PASS", per_pass)
     rows = [(1, "Pre é " + " ".join(WORDS[3:18]) + "; post " + " ".join(words(60)).replace("w9 ", "")), (2, " ".join(WORDS[:20])), (3, None), (4, "clean é")]
-    items = spark.createDataFrame([ITEMS[0]], "item_id long, text string")
-    left = {r.doc_id: r.text for r in decontaminate.decontaminate(frame(spark, rows), items).collect()}
+    items = spark.createDataFrame([ITEMS[0], (2, "none of it"), (3, "nor of this")], "item_id long, text string")
+    docs = frame(spark, rows).withColumn("odd`.name", F.col("doc_id"))
+    out = decontaminate.decontaminate(docs, items)
+    assert out.columns == docs.columns
+    left = {r.doc_id: r.text for r in out.collect()}
     assert set(left) == {1, 3, 4} and left[3] is None and left[4] == "clean é" and left[1].startswith("Pre é ; post ")
 
 

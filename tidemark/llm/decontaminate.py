@@ -156,56 +156,101 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str):
         yield block()
 
 
-def _scan(shared, key: str, window: int, text_at: int, at: int):
+def _each(matcher: Matcher, names: np.ndarray, column):
+    """Of each text of an Arrow column, in order: its number of words, its spans, and the items that occur in it."""
+    data, offsets = text_buffer(column)
+    for i, j in row_blocks(offsets):
+        part, bounds = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+        starts, ends, rows = word_bounds(part, bounds, ALNUM)
+        hit, found = matcher.find(span_hashes(part, starts, ends), rows)
+        for k in range(j - i):
+            a, b = rows[k], rows[k + 1]
+            spans = []
+            if k in found:
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], hit[a:b].astype(np.int8), [0]])))
+                spans = [{"first": int(x), "last": int(y), "start": int(starts[a + x] - bounds[k]), "end": int(ends[a + y - 1] - bounds[k])} for x, y in zip(edge[::2], edge[1::2], strict=True)]
+            yield b - a, spans, set(names[list(found.get(k, ()))])
+
+
+class _Pass:
+    """One block of test items, sent to all workers."""
+
+    def __init__(self, docs: DataFrame, block, window: int):
+        context = docs.sparkSession.sparkContext
+        self.shared, self.window = context.broadcast(block), window
+        self.key = f"{context.applicationId}-{self.shared._jbroadcast.id()}"
+
+    def texts(self, column):
+        ids, words, rows = self.shared.value
+        return _each(kept(("matcher", self.key), lambda: Matcher(words, rows, self.window)), np.array(ids, object), column)
+
+
+def _scan(one: _Pass, text_at: int, at: int):
     """Adds to each row's spans and items; the columns n_words, spans and items begin at `at`."""
 
     def run(batches):
-        block = shared.value
-        matcher = kept(("matcher", key), lambda: Matcher(block[1], block[2], window))
-        names = np.array(block[0], object)
         for batch in batches:
-            data, offsets = text_buffer(batch.column(text_at))
-            old = [batch.column(at + k).to_pylist() for k in range(3)]
-            n_words, spans, items = [], [], []
-            for i, j in row_blocks(offsets):
-                part, bounds = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                starts, ends, rows = word_bounds(part, bounds, ALNUM)
-                hit, found = matcher.find(span_hashes(part, starts, ends), rows)
-                for k in range(j - i):
-                    a, b = rows[k], rows[k + 1]
-                    n_words.append(b - a)
-                    own, seen = old[1][i + k] or [], old[2][i + k] or []
-                    if k in found:
-                        edge = np.flatnonzero(np.diff(np.concatenate([[0], hit[a:b].astype(np.int8), [0]])))
-                        own = own + [{"first": int(x), "last": int(y), "start": int(starts[a + x] - bounds[k]), "end": int(ends[a + y - 1] - bounds[k])} for x, y in zip(edge[::2], edge[1::2], strict=True)]
-                        seen = sorted({*seen, *names[list(found[k])]})
-                    spans.append(own)
-                    items.append(seen)
-            new = [pa.array(x, batch.schema.field(at + k).type) for k, x in enumerate((n_words, spans, items))]
+            old = zip(batch.column(at + 1).to_pylist(), batch.column(at + 2).to_pylist(), strict=True)
+            new = [(n, [*(spans or []), *more], sorted({*(items or []), *seen})) for (n, more, seen), (spans, items) in zip(one.texts(batch.column(text_at)), old, strict=True)]
+            new = [pa.array([x[k] for x in new], batch.schema.field(at + k).type) for k in range(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], *new], schema=batch.schema)
 
     return run
 
 
+_SPANS = "array<struct<first:long,last:long,start:long,end:long>>"
+
+
+def _hits(one: _Pass, schema: pa.Schema):
+    """(two hashes of the text, spans, items) of the texts that have any; columns are the text and its hashes."""
+
+    def run(batches):
+        for batch in batches:
+            found = [(k, spans, sorted(seen)) for k, (_, spans, seen) in enumerate(one.texts(batch.column(0))) if spans]
+            at = pa.array([k for k, _, _ in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(at), batch.column(2).take(at), *(pa.array([x[k] for x in found], schema.field(k + 1).type) for k in (1, 2))], schema=schema)
+
+    return run
+
+
 def _last_pass(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int):
-    """The rows before the last pass over the text, its function, and the schema that it gives."""
+    """The rows before the last pass over the text, its function, and the schema that it gives.
+
+    Passes before the last one read the texts and write hits only, by two hashes of the text; the
+    rows get them by one join at the end. Copies of a text have one entry there.
+    """
     ship(docs.sparkSession)
     out = docs.drop("n_words", "spans", "items")
-    at, text_at = len(out.columns), out.columns.index(text_col)
-    out = out.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.lit(None).cast("array<struct<first:long,last:long,start:long,end:long>>"), "items": F.lit(None).cast("array<string>")})
-    schema, context = out.schema, docs.sparkSession.sparkContext
-    for field in list(schema)[at:]:
-        field.nullable = True
-    run = None
+    columns, text_at = out.columns, out.columns.index(text_col)
+    text = F.col(_quoted(text_col)).cast("string")
+    free = "_".join(["hits", *columns])  # no column of docs has this name
+    names = [f"{free}{k}" for k in range(4)]
+    kinds = ", ".join(f"{_quoted(n)} {kind}" for n, kind in zip(names, ("long", "long", _SPANS, "array<string>"), strict=True))
+    span = pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")])
+    schema = pa.schema(list(zip(names, (pa.int64(), pa.int64(), pa.list_(span), pa.list_(pa.string())), strict=True)))
+    keys = [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+    one, hits = None, None
     for block in item_blocks(items, item_id, item_text):
-        if run:
-            out = spill(out.mapInArrow(run, schema), "scanned")
-        shared = context.broadcast(block)
-        run = _scan(shared, f"{context.applicationId}-{shared._jbroadcast.id()}", window, text_at, at)
-    if not run:
-        none = context.broadcast(([], np.zeros(0, np.uint64), np.zeros(1, np.int64)))
-        run = _scan(none, f"{context.applicationId}-{none._jbroadcast.id()}", window, text_at, at)
-    return out, run, schema
+        if one:
+            found = out.where(text.isNotNull()).select(text, *keys).mapInArrow(_hits(one, schema), kinds)
+            found = spill(found.groupBy(*map(_quoted, names[:2])).agg(*(F.first(_quoted(n)).alias(n) for n in names[2:])), "hits")
+            hits = found if hits is None else hits.union(found)
+        one = _Pass(docs, block, window)
+    one = one or _Pass(docs, ([], np.zeros(0, np.uint64), np.zeros(1, np.int64)), window)
+    spans, seen = F.lit(None).cast(_SPANS), F.lit(None).cast("array<string>")
+    if hits is not None:
+        hits = hits.groupBy(*map(_quoted, names[:2])).agg(*(F.flatten(F.collect_list(_quoted(n))).alias(n) for n in names[2:]))  # one entry for each pass at most
+        out = out.join(hits, (keys[0] == F.col(_quoted(names[0]))) & (keys[1] == F.col(_quoted(names[1]))), "left")
+        spans, seen = (F.col(_quoted(n)).alias(m) for n, m in zip(names[2:], ("spans", "items"), strict=True))
+    out = out.select(*map(_quoted, columns), F.lit(0).cast("long").alias("n_words"), spans.alias("spans"), seen.alias("items"))
+    kind = out.schema
+    for field in list(kind)[len(columns) :]:
+        field.nullable = True
+    return out, _scan(one, text_at, len(columns)), kind
+
+
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
 
 
 def scan(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
