@@ -22,6 +22,8 @@ Every candidate is verified on the whole sets, computed anew from the two texts.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +40,8 @@ LONGEST = 4
 STAR_KEYS = 6
 VERIFY_COST = 50
 ENTRIES_PER_BUCKET = 1_000_000
+#: Logarithm of the sizes' ratio in a band, a little over 4/3, so that rounding puts no partner two bands on.
+BAND = math.log(4 / 3) * (1 + 1e-6)
 #: Sizes and parity bitmaps (two sets differ in as many shingles as bits at least) leave room for the
 #: overlap that a link needs, 3 / 7 of both sizes together.
 POSSIBLE = "100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b) and " + "7 * ({}) <= size_a + size_b".format(" + ".join(f"bit_count(bits{k}_a ^ bits{k}_b)" for k in range(8)))
@@ -278,9 +282,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     entry = entry.select("rep", "comp", "size", "best", *_BITS, F.col("x.tokens").alias("token"), F.col("x.levels").alias("level"))
     mixed = entry.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
     entry = spill(entry.join(mixed, "token"), "mixed")
-    x, y = (entry.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "comp", "size", "best", "level", *_BITS))) for s in "ab")
-    pairs = x.join(y, "token").where(
-        f"rep_a < rep_b and comp_a <> comp_b and {POSSIBLE} and greatest(level_a, level_b) <= least(best_a, best_b)"
+    # a partner's size is at most 4/3 of the smaller one's: it lies in the same band of sizes or in the next
+    banded = entry.withColumn("band", F.expr(f"cast(floor(ln(size) / {BAND}) as int)"))
+    x, y = (banded.select("token", "band", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "comp", "size", "best", "level", *_BITS))) for s in "ab")
+    x = x.withColumn("band", F.explode(F.expr("array(band, band + 1)")))
+    pairs = x.join(y, ["token", "band"]).where(
+        f"(size_a < size_b or size_a = size_b and rep_a < rep_b) and comp_a <> comp_b and {POSSIBLE} and greatest(level_a, level_b) <= least(best_a, best_b)"
     )
     # one id may name several classes: sizes keep them apart
     pairs = pairs.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "size_a", "size_b", F.least("best_a", "best_b").alias("need")).agg(F.count("*").alias("shared")).where(ENOUGH).select("a", "b").distinct()
