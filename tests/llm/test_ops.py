@@ -426,7 +426,7 @@ def test_decontaminate_cuts(spark, monkeypatch, per_pass):
     monkeypatch.setattr(decontaminate, "WORDS_PER_PASS", per_pass)
     rows = [(1, "Pre é " + " ".join(WORDS[3:18]) + "; post " + " ".join(words(60)).replace("w9 ", "")), (2, " ".join(WORDS[:20])), (3, None), (4, "clean é")]
     items = spark.createDataFrame([ITEMS[0], (2, "none of it"), (3, "nor of this")], "item_id long, text string")
-    docs = frame(spark, rows).withColumn("odd`.name", F.col("doc_id"))
+    docs = frame(spark, rows).withColumn("odd name", F.col("doc_id"))
     out = decontaminate.decontaminate(docs, items)
     assert out.columns == docs.columns
     left = {r.doc_id: r.text for r in out.collect()}

@@ -7,7 +7,8 @@ are recomputed in double precision. Equal vectors are one class, compared once.
 
 Classes are dealt into groups of bounded size, near ones together; each pair of groups is one
 cell of work that no pair leaves: a cell gives link counts and the edges of a spanning forest.
-Tiles whose centres are farther apart than their radii and the threshold allow are skipped.
+Vectors are sent only to cells whose pivots are near enough for their radii and the threshold,
+and tiles whose centres are farther apart than theirs allow are skipped.
 """
 
 from __future__ import annotations
@@ -112,7 +113,7 @@ def _nearest(pivots: dict[int, np.ndarray]):
     def run(batches):
         for batch in batches:
             lists = batch.column(2)
-            out = np.full(len(batch), -1, np.int32)
+            out, angle = np.full(len(batch), -1, np.int32), np.zeros(len(batch))
             size = np.diff(lists.offsets.to_numpy())
             flat = np.asarray(lists.flatten(), dtype=np.float64)
             at = np.concatenate([[0], np.cumsum(size)])
@@ -120,12 +121,34 @@ def _nearest(pivots: dict[int, np.ndarray]):
                 if (p := pivots.get(int(dim))) is not None:
                     own = np.flatnonzero(size == dim)
                     v = flat[at[own][:, None] + np.arange(dim)]
-                    out[own] = np.argmax((v / np.abs(v).max(1, keepdims=True)) @ p.T, axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, pa.array(size.astype(np.int32)), pa.array(out)], ["rep", "copies", "v", "dim", "pivot"])
+                    v = v / np.abs(v).max(1, keepdims=True)
+                    product = v @ p.T
+                    out[own] = np.argmax(product, axis=1)
+                    angle[own] = np.arccos(np.clip(product.max(1) / np.sqrt((v * v).sum(1)), -1, 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists, pa.array(size.astype(np.int32)), pa.array(out), pa.array(angle)], ["rep", "copies", "v", "dim", "pivot", "angle"])
 
     return run
 
 
+def may_reach(pivots: np.ndarray | None, p: int, q: int, radii: float, threshold: float) -> bool:
+    """Whether vectors around pivot p and pivot q, at angles of `radii` together at most, can have a cosine of the threshold."""
+    if pivots is None or min(p, q) < 0:
+        return True
+    apart = np.arccos(np.clip(pivots[p] @ pivots[q], -1, 1))
+    return bool(apart <= radii + np.arccos(np.clip(threshold, -1, 1)) + 1e-6)
+
+
+def _ranges(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same whole numbers in ranges that don't overlap."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
 def cosine_components(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row for each row of `vectors`: vec_id, n_links, component_id, kept.
 
@@ -145,13 +168,14 @@ def cosine_components(vectors: DataFrame, threshold: float = 0.9, id_col: str =
     reps = rows.where("v is not null").withColumnRenamed("vec_id", "rep").join(counted, ["k1", "k2", "rep"]).dropDuplicates(["k1", "k2"]).select("rep", "copies", "v")
 
     chosen: dict[int, list] = {}
-    for r in reps.orderBy(F.xxhash64("rep")).limit(PIVOTS).collect():  # pivots only order the work
+    for r in reps.orderBy(F.xxhash64("rep")).limit(PIVOTS).collect():  # pivots order and skip work, exactly whatever they are
         chosen.setdefault(len(r.v), []).append(np.array(r.v) / np.sqrt(np.sum(np.square(np.array(r.v) / np.max(np.abs(r.v))))) / np.max(np.abs(r.v)))
     pivots = {dim: np.array(x) for dim, x in chosen.items()}
-    reps = spill(reps.mapInArrow(lean(_nearest(pivots)), "rep long, copies long, v array<double>, dim int, pivot int"), "reps")
+    reps = spill(reps.mapInArrow(lean(_nearest(pivots)), "rep long, copies long, v array<double>, dim int, pivot int, angle double"), "reps")
 
     # pivots in turn fill groups; a large one is split by hash. At most PIVOTS and as many lengths reach the driver.
-    counts = {(r["dim"], r.pivot): r["count"] for r in reps.groupBy("dim", "pivot").count().collect()}
+    around = {(r["dim"], r.pivot): (r.n, r.radius) for r in reps.groupBy("dim", "pivot").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()}
+    counts = {k: n for k, (n, _) in around.items()}
     size = int(np.clip(sum(counts.values()) // 8, *GROUP))
     groups, first, filled, before = [], 0, 0, None
     for (dim, pivot), n in sorted(counts.items()):
@@ -163,13 +187,13 @@ def cosine_components(vectors: DataFrame, threshold: float = 0.9, id_col: str =
     if not groups:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     spark = vectors.sparkSession
-    low_high = {}
-    for dim, _, start, parts in groups:
-        lo, hi = low_high.get(dim, (start, start))
-        low_high[dim] = (min(lo, start), max(hi, start + parts - 1))
-    place = spark.createDataFrame([(*g, *low_high[g[0]]) for g in groups], "dim int, pivot int, start int, parts int, low int, high int")
+    # a row goes only to those groups of whose pivots one has vectors near enough to its own pivot's
+    radii = {k: r for k, (_, r) in around.items()}
+    partners = [_ranges([(first, first + parts - 1) for d, q, first, parts in groups if d == dim and may_reach(pivots.get(dim), pivot, q, radii[dim, pivot] + radii[dim, q], threshold)]) for dim, pivot, *_ in groups]
+    place = spark.createDataFrame([(*g, x) for g, x in zip(groups, partners, strict=True)], "dim int, pivot int, start int, parts int, partners array<struct<low:int,high:int>>")
     dealt = reps.join(F.broadcast(place), ["dim", "pivot"]).withColumn("grp", F.expr("start + cast(pmod(xxhash64(rep), parts) as int)"))
-    cells = dealt.withColumn("other", F.explode(F.sequence("low", "high"))).select(F.least("grp", "other").alias("a"), F.greatest("grp", "other").alias("b"), "grp", "pivot", "rep", "copies", "v")
+    others = F.explode(F.expr("flatten(transform(partners, x -> sequence(x.low, x.high)))"))
+    cells = dealt.withColumn("other", others).select(F.least("grp", "other").alias("a"), F.greatest("grp", "other").alias("b"), "grp", "pivot", "rep", "copies", "v")
     found = spill(cells.groupBy("a", "b").applyInArrow(lean_group(_cell(threshold)), "rep long, links long, root long"), "links")
     linked = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     total = found.groupBy("rep").agg(F.sum("links").alias("links"))
