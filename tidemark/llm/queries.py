@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from . import attention_lm, oracles, toxicity
 from .bitplane import read_ids, write_ids
 from .chat_format import digests, expand_prefixes
@@ -17,6 +18,9 @@ from .int8_tiles import cosine_components
 from .jaccard_join import jaccard_components
 from .language_id import identify, train
 from .packing import pack
+from .periodic_runs import periodic_runs
+from .source_mix import mix_sources
+from .spelling import count_words, group_variants, runs_of
 from .substring_dedup import repeated_passages
 
 
@@ -81,6 +85,46 @@ def op10_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op11_trie_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.explode(runs_of(F.col("text"), r"[A-Za-z\u00C0-\u00FF]", 7)).alias("run"))
+    hashed = docs.withColumn("h", F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary")))
+    at = (F.col("h") % F.char_length("run")).cast("int")
+    shorter = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
+    found = hashed.select(F.when(F.col("h") % 31 == 0, shorter).otherwise(F.col("run")).alias("word")).where(F.char_length("word") >= 7)
+    return group_variants(count_words(found, 2), ratio=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_subset_sum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_lpf_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (h % 10 == 0).alias("planted"), F.floor(h / 10).alias("g"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def planted(w):
+        n = F.size(w)
+        start = F.col("g") % n
+        period = 1 + F.floor((n - start) / (3 + F.col("g") % 8))
+        return F.array_join(F.transform(w, lambda word, i: F.when(i < start, word).otherwise(F.get(w, (start + (i - start) % period).cast("int")))), " ")
+
+    texts = docs.select("doc_id", F.when(F.col("planted") & F.col("text").isNotNull(), let(words, planted)).otherwise(F.col("text")).alias("text"))
+    found = periodic_runs(texts, exponent=4, least=6)
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    best = F.aggregate("runs", none, lambda a, b: F.when(a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"]), b).otherwise(a))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    named = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), lines.alias("lines"), "collapsed")
+    return named.select(
+        "doc_id",
+        "n_runs",
+        *[F.col(f"b.{x}").alias(x) for x in ("start", "length", "period")],
+        F.expr("(1000 * b.length) div b.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
