@@ -187,3 +187,105 @@ def lm_log_chances(model, ids):
         chance = log_softmax(g @ p["out"] + p["pair"][before[t]])[group] + log_softmax(g @ p["member"][group] + model.inner[before[t], group])[member]
         out.append(chance + model.share[i])
     return out
+
+
+def op11_counts(rows):
+    """rows: (doc_id, text) -> word -> n, of the words that the contract keeps."""
+    counts = Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(_LOWER)
+            h = zlib.crc32(f"{doc}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += len(run) >= 7
+    return {w: n for w, n in counts.items() if n >= 2}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def op11_forms(counts, ratio=10):
+    """word -> (form, root, n, n_near, form_n), every pair of words compared."""
+    near = {w: [v for v in counts if one_edit(w, v)] for w in counts}
+    forms = {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda v: (-counts[v], v), default=None)
+        forms[w] = best if best is not None and counts[best] >= ratio * n else None
+    out = {}
+    for w, n in counts.items():
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        out[w] = (forms[w], root, n, len(near[w]), counts.get(forms[w]))
+    return out
+
+
+def op12_targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
+    """source -> target, of source -> size: the excess over a source's most is shared again among the others."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    fixed, left = {}, sum(sizes.values()) * share
+    while True:
+        free = [s for s in names if s not in fixed]
+        total = sum(weight[s] for s in free)
+        target = {s: left * weight[s] / total for s in free} if free else {}
+        above = [s for s in free if target[s] > most * sizes[s]]
+        if not above:
+            return fixed | target
+        for s in above:
+            fixed[s] = float(most * sizes[s])
+            left -= fixed[s]
+
+
+def best_sum(sizes, budget):
+    """The least distance from the budget that a subset's sum can have."""
+    sums = {0}
+    for size in sizes:
+        sums |= {s + size for s in sums}
+    return min(abs(s - budget) for s in sums)
+
+
+def op13_words(doc, text):
+    w = SPACED.findall(text or "")
+    h = zlib.crc32(str(doc).encode())
+    if h % 10 == 0 and w:
+        g = h // 10
+        a = g % len(w)
+        p = 1 + (len(w) - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    return w
+
+
+def runs(w, exponent=4, least=6):
+    """All runs (start, length, shortest period), by trying every period at every place."""
+    out = {}
+    for p in range(1, len(w) // exponent + 1):
+        i = 0
+        while i + p < len(w):
+            j = i
+            while j + p < len(w) and w[j] == w[j + p]:
+                j += 1
+            if j - i + p >= max(least, exponent * p):
+                out.setdefault((i, j - i + p), p)
+            i = max(j, i + 1)
+    return sorted((i, n, p) for (i, n), p in out.items())
+
+
+def op13(rows):
+    from fractions import Fraction
+
+    out = {}
+    for doc, text in rows:
+        w = op13_words(doc, text)
+        found = runs(w)
+        gone = {i for start, n, p in found for i in range(start + p, start + n)}
+        best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=None)
+        lines = "".join(f"{a},{n},{p}\n" for a, n, p in found)
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out[doc] = (len(found), *(best or (None, None, None)), best and 1000 * best[1] // best[2], hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
+    return out

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators on the smallest tables."""
+"""The registered queries of the operators on the smallest tables."""
 
 import zlib
 
@@ -85,3 +85,32 @@ def test_op7(spark, docs, monkeypatch):
     for d, (n, known, total, base) in expected.items():
         r = found[d]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (crc(d) % 7 == 2, n, known, total) and r.base_score == pytest.approx(base) and r.score < 0
+
+
+def test_op11(spark, docs):
+    found = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in rows(spark, "op11_trie_variants")}
+    expected = brute.op11_forms(brute.op11_counts(docs.items()))
+    assert found == expected and any(form for form, *_ in expected.values())
+
+
+def test_op12(spark, docs):
+    sources = dict(duckdb.sql(f"SELECT doc_id, source FROM '{SF}/documents.parquet'").fetchall())
+    found = {r.doc_id: r for r in rows(spark, "op12_subset_sum_mix")}
+    size = {d: len(brute.SPACED.findall(t or "")) for d, t in docs.items()}
+    whole = {}
+    for d, s in sources.items():
+        whole[s] = whole.get(s, 0) + size[d]
+    target = brute.op12_targets(whole)
+    assert {d: (r.size, r.source_size) for d, r in found.items()} == {d: (size[d], whole[sources[d]]) for d in docs}
+    assert all(r.target == pytest.approx(target[sources[d]]) and r.taken in (0, r.size, 2 * r.size) for d, r in found.items())
+    for s in whole:
+        own = [size[d] for d in docs if sources[d] == s]
+        budget = target[s] % whole[s] if target[s] < 2 * whole[s] else 0
+        assert abs(sum(r.taken for d, r in found.items() if sources[d] == s) - target[s]) <= brute.best_sum(own, round(budget)) + 0.5
+    assert {r.doc_id: r.taken for r in rows(spark, "op12_subset_sum_mix")} == {d: r.taken for d, r in found.items()}
+
+
+def test_op13(spark, docs):
+    found = {r.doc_id: (r.n_runs, r.start, r.length, r.period, r.exponent_milli, r.runs_sha256, r.collapsed_sha256) for r in rows(spark, "op13_lpf_runs")}
+    expected = brute.op13(docs.items())
+    assert found == expected and sum(r[0] > 0 for r in expected.values()) > 5
