@@ -1,12 +1,16 @@
 """The record and sequence operators on cases worked out by hand, and by properties on random input."""
 
+import html
 import json
 import random
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
+from tidemark.functions.entities import decode_entities
+from tidemark.functions.folding import fold
 from tidemark.functions.urls import canonical_url, has_translation
 from tidemark.operators import audit, cues, manifest, requests, results, sarif, status, tracks
 from tidemark.plans import fixtures as fx
@@ -20,17 +24,34 @@ def column(spark, values, make, kind="string"):
 
 
 def test_clean_caption_text(spark):
-    common = [(raw, out) for raw, out in fx.CLEANED if raw is None or not any(x in raw for x in ("&eacute;", "&amp chips"))]
-    assert column(spark, [raw for raw, _ in common], t.clean_caption_text) == [out for _, out in common]
-    assert column(spark, ["&quot;&lt;", "&#39; &hellip;", "a & b", "&#65;", None], t.has_other_entities) == [False, True, False, True, False]
+    assert column(spark, [raw for raw, _ in fx.CLEANED], t.clean_caption_text) == [out for _, out in fx.CLEANED]
 
 
-def test_full_entities(spark):
+def test_entities_in_cues(spark):
     files = spark.createDataFrame([(1, "00:00:01.000 --> 00:00:02.000\ncaf&eacute; &#x41;&hellip;\n\n00:00:03.000 --> 00:00:04.000\n&nbsp;"), (2, "")], "i int, raw string")
-    rows = {r.i: [c.text for c in r.cues] for r in cues.parse_cues(files, full_entities=True).collect()}
+    rows = {r.i: [c.text for c in r.cues] for r in cues.parse_cues(files).collect()}
     assert rows == {1: ["café A…"], 2: []}
 
 
+def test_entities_equal_the_standard_library(spark):
+    """Every name with and without what may follow it, numbers at all borders, and random mixtures."""
+    r = random.Random(1)
+    texts = [f"&{n}" for n in html5] + [f"&{n.rstrip(';')}x;y" for n in html5]
+    texts += [f"x&#{n};y&#x{n:x}z" for n in [*range(300), *range(0xD7F0, 0xE010, 7), 0xFDD0, 0xFDEF, 0xFFFE, 0xFFFF, 0x10000, 0x1F600, 0x1FFFE, 0x10FFFF, 0x110000, 10**9, 10**12]]
+    texts += ["", "&", "&&", "&;", "&#", "&#;", "&#x;", "a&b", "&amp;amp;", "&amp&amp", "&notit;", "&nbsp;&#X41;", "&" + "a" * 40 + ";", "&#0000065;", "&#x00000000041 ", "\n&lt\n", "&é;", "&#٣;", "&#6a;"]
+    texts += ["".join(r.choices(["&", "amp", "#", "x", "1", "0", ";", " ", "lt", "gt", "not", "it", "é", "copy", "😀"], k=12)) for _ in range(2000)]
+    assert column(spark, [*texts, None], decode_entities) == [*map(html.unescape, texts), None]
+
+
+def test_fold_equals_the_standard_library(spark):
+    """Every code point alone, inside a text, and those that the place in a word decides on."""
+    points = spark.range(0x110000).where("id not between 55296 and 57343").select("id", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    found = points.select("id", fold(F.col("c")).alias("one"), fold(F.concat(F.lit("Aß"), "c", F.lit("Z"))).alias("inside")).where("one <> decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32') or inside <> concat('ass', decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32'), 'z')").collect()
+    assert {chr(x.id): (x.one, x.inside) for x in found} == {c: (c.casefold(), f"ass{c.casefold()}z") for c in map(chr, range(0x110000)) if c.casefold() != c}
+    texts = ["ΑΣ ΣΑΣ", "İIı", "STRASSE Straße ẞ", "ﬁﬂ ŉ ǰ ΐ", "ᏸᎠꭰ", "", "ὈΔΥΣΣΕΎΣ", "µ ſ K Å"]
+    assert column(spark, [*texts, None], fold) == [*(x.casefold() for x in texts), None]
+
+
 def keys_of(text):
     """Tokens as they are compared, by the categories of their characters."""
     import unicodedata
@@ -70,10 +91,31 @@ def test_overlap_on_random_sequences(spark):
             assert not any(fits(before, line, n) for n in range(gone + 1, 61))
             trimmed += 0 < gone < len(line)
     assert trimmed > 50
-    lag = {}
-    for x in cues.overlap_by_lag(rows.select("i", F.posexplode("texts").alias("k", "text")), "i", "k", "text").collect():
-        lag.setdefault(x.i, {})[x.k] = x.residual
-    assert lag == found
+    for parts in (1, 7):
+        chunked = {}
+        lines = rows.select("i", F.posexplode("texts").alias("k", "text")).repartition(parts)
+        for x in cues.overlap_by_chunks(lines, "i", "k", "text").collect():
+            chunked.setdefault(x.i, {})[x.k] = x.residual
+        assert chunked == found
+
+
+def test_overlap_of_one_long_sequence(spark):
+    """One sequence lies in all partitions, and every cue meets the one before, also across a border."""
+    n = 20_000
+    said = F.concat_ws(" ", *[F.concat(F.lit("w"), ((F.col("id") * 3 + k) % 9973).cast("string")) for k in range(7)])
+    lines = spark.range(n).select(F.lit("f").alias("file"), "id", said.alias("text"), F.lit(1).alias("residual_of"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = cues.overlap_by_chunks(lines, "file", "id", "text")
+        assert found.rdd.getNumPartitions() > 1
+        rows = {x.id: x.residual for x in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert set(rows) == set(range(n)) and len(rows[0].split()) == 7
+    assert all(len(rows[k].split()) == 3 for k in range(1, n))
+    assert cues.overlap_by_chunks(lines.limit(0), "file", "id", "text").count() == 0
+    odd = spark.createDataFrame([(None, 1, "a b c"), (None, 2, "b c d"), ("x", 1, "c d e"), ("x", 2, None), ("x", 3, "c d e")], "file string, id int, text string")
+    assert sorted((x.file or "", x.id, x.residual) for x in cues.overlap_by_chunks(odd, "file", "id", "text").collect()) == [("", 1, "a b c"), ("", 2, "d"), ("x", 1, "c d e"), ("x", 3, "c d e")]
 
 
 def test_urls_from_parts(spark):
@@ -200,8 +242,7 @@ def test_status(spark):
     assert [check(" ", "o/r", "a" * 40, "1", "t"), check("c", "o", "a" * 40, "1", "t"), check("c", "o/r", "a", "1", "t"), check("c", "o/r", "a" * 40, "x", "t"), check("c", "o/r", "a" * 40, "1", " ")] == ["context must be 1..100 characters", "repository is required", "sha must have 40 characters", "run id is required", "token is required"]
 
 
-def test_tool_version_and_exact_fold(spark):
+def test_tool_version(spark):
     rows = spark.createDataFrame([(0, " 2026.1 \n"), (1, "2026.1"), (0, "Deno 2.9 (x)\nv8 1"), (0, "")], "code int, out string")
     assert [r.a for r in rows.select(t.tool_version(F.col("code"), F.col("out")).alias("a")).collect()][:2] == ["2026.1", "unknown"]
     assert [r.a for r in rows.select(t.tool_version(F.col("code"), F.col("out"), "deno").alias("a")).collect()] == ["unknown", "unknown", "2.9", "unknown"]
-    assert column(spark, ["STRASSE ẞ Ꭰ", None], t.exact_fold) == ["STRASSE ẞ Ꭰ".casefold(), None]

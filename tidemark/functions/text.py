@@ -6,19 +6,18 @@ WS is the set that Python's str.strip and split use, WORD the set of letters, nu
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+from .entities import decode_entities
+from .folding import fold
+
 WS = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 NOT_WORD = r"[^\p{L}\p{N}_]+"
+NOT_IN_WORDS = r"[^\p{L}\p{N}_ ]+"
 #: Markers of a refused access.
 ACCESS_MARKERS = ("sign in to confirm", "confirm you're not a bot", "confirm you are not a bot", "http error 403", "http error 429", "too many requests")
-#: Entities that `clean_caption_text` decodes without Python; the ampersand comes last.
-ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-
 
 def strip(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, rf"\A{WS}+", ""), rf"{WS}+\z", "")
@@ -28,78 +27,41 @@ def rstrip(text: Column) -> Column:
     return F.regexp_replace(text, rf"{WS}+\z", "")
 
 
-def fold(text: Column) -> Column:
-    """Case folding as far as built-in functions go: lower case, and ß as ss. `exact_fold` does the rest."""
-    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
-
-
-def _casefold(text: pd.Series) -> pd.Series:
-    return text.str.casefold()
-
-
-def exact_fold(text: Column) -> Column:
-    """Full Unicode case folding, in Arrow batches."""
-    return F.pandas_udf(_casefold, "string").asNondeterministic()(text)
-
-
-def _unescape(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
-
-
-def unescape_entities(text: Column) -> Column:
-    """All HTML character references, in Arrow batches. Kept out of the expressions around it, which may be higher-order."""
-    return F.pandas_udf(_unescape, "string").asNondeterministic()(text)
-
-
-def decode_entities(text: Column) -> Column:
-    for entity, plain in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return text
-
-
 def without_tags(text: Column) -> Column:
+    """The patterns of inline timestamps, line breaks and tags."""
     text = F.regexp_replace(text, r"<\p{Nd}{1,2}:\p{Nd}{2}:\p{Nd}{2}[.]\p{Nd}{3}>", "")
     text = F.regexp_replace(text, rf"(?i)<br{WS}*/?>", "\n")
     return F.regexp_replace(text, r"<[^>]+>", "")
 
 
 def squeeze(text: Column) -> Column:
+    """Which spaces become one, and what goes with a line's end."""
     text = F.replace(F.replace(text, F.lit(" "), F.lit(" ")), F.lit("​"), F.lit(""))
     text = F.regexp_replace(text, r"[ \t]+", " ")
     return strip(F.regexp_replace(text, rf"{WS}*\n{WS}*", " "))
 
 
 def clean_caption_text(text: Column) -> Column:
-    """Inline timestamps and tags out, line breaks and the common entities decoded, white space squeezed.
-
-    Native; entities beyond ENTITIES stay. `with_clean_text` decodes all. Null stays null.
-    """
+    """Inline timestamps and tags out, line breaks and all HTML character references decoded, white space squeezed. Null stays null."""
     return squeeze(decode_entities(without_tags(text)))
 
 
-def has_other_entities(text: Column) -> Column:
-    """Whether character references are left besides ENTITIES."""
-    return F.coalesce(F.regexp_replace(text, "|".join(e for e, _ in ENTITIES), "").rlike(r"&#?[A-Za-z0-9]"), F.lit(False))
-
-
-def with_clean_text(frame: DataFrame, column: str, to: str) -> DataFrame:
-    """`frame` with `clean_caption_text` of a column and every HTML character reference decoded: the
-    common ones natively, and only texts with others go through Python."""
-    out = frame.withColumn("_plain", without_tags(F.col(column)))
-    out = out.withColumn("_other", unescape_entities(F.when(has_other_entities(F.col("_plain")), F.col("_plain"))))
-    return out.withColumn(to, squeeze(F.coalesce("_other", decode_entities(F.col("_plain"))))).drop("_plain", "_other")
-
-
 def tokens(text: Column) -> Column:
     return F.filter(F.split(text, f"{WS}+", -1), lambda t: t != "")
 
 
-def token_key(token: Column) -> Column:
-    return fold(F.regexp_replace(token, NOT_WORD, ""))
+def token_keys(line: Column) -> Column:
+    """The keys of all tokens of a line: what each has of letters, numbers and underscores, case-folded. A token without any has an empty key.
+
+    One pass over the line, not one for each token; what parts the tokens stays.
+    """
+    spaced = F.trim(F.regexp_replace(line, f"{WS}+", " "))
+    keys = lambda x: F.split(let(F.regexp_replace(x, NOT_IN_WORDS, ""), fold), " ", -1)
+    return let(spaced, lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(keys(x)))
 
 
 def classify_failure(message: Column) -> Column:
-    found = F.exists(F.array(*map(F.lit, ACCESS_MARKERS)), lambda m: F.contains(fold(F.coalesce(message, F.lit(""))), m))
+    found = let(fold(F.coalesce(message, F.lit(""))), lambda folded: F.exists(F.array(*map(F.lit, ACCESS_MARKERS)), lambda m: F.contains(folded, m)))
     return F.when(found, "access_blocked").otherwise("error")
 
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, clean_caption_text, fold, normalized_transcript, sha256_text, squeeze, strip, token_key, tokens, unescape_entities, without_tags
+from ..functions.binding import let
+from ..functions.folding import fold
+from ..functions.text import WS, clean_caption_text, normalized_transcript, sha256_text, strip, token_keys, tokens
+from ..session import scratch
 
 #: The overlap window, timing lines, metadata lines and comment blocks of subtitle files.
 LONGEST_OVERLAP = 40
@@ -51,39 +54,34 @@ def with_text(cues: Column, clean) -> Column:
     return F.filter(cleaned, lambda c: c["text"] != "")
 
 
-def parse_cues(files: DataFrame, raw_col: str = "raw", full_entities: bool = False) -> DataFrame:
-    """`files` with a column `cues`. With `full_entities` every HTML entity is decoded (one Arrow pass over each file's text)."""
-    out = files.withColumn("cues", cue_parts(F.col(raw_col)))
-    if not full_entities:
-        return out.withColumn("cues", with_text(F.col("cues"), clean_caption_text))
-    # texts travel as one string; the separator can't come from an entity or a text
-    mark = "\x1e\x1f\x1e"
-    out = out.withColumn("_texts", F.array_join(F.transform("cues", lambda c: without_tags(c["text"])), mark))
-    out = out.withColumn("_texts", unescape_entities(F.col("_texts")))
-    out = out.withColumn("_texts", F.split("_texts", mark, -1))
-    out = out.withColumn("cues", F.zip_with("cues", F.when(F.size("cues") > 0, F.col("_texts")).otherwise(F.array().cast("array<string>")), lambda c, t: F.struct(c["start"].alias("start"), c["end"].alias("end"), t.alias("text"))))
-    return out.withColumn("cues", with_text(F.col("cues"), squeeze)).drop("_texts")
+def parse_cues(files: DataFrame, raw_col: str = "raw") -> DataFrame:
+    """`files` with a column `cues`."""
+    return files.withColumn("cues", with_text(cue_parts(F.col(raw_col)), clean_caption_text))
 
 
 def prepared(text: Column) -> Column:
-    words = tokens(text)
-    return F.struct(text.alias("text"), fold(text).alias("fold"), words.alias("words"), F.transform(words, token_key).alias("keys"))
+    return F.struct(text.alias("text"), fold(text).alias("fold"), token_keys(text).alias("keys"))
 
 
 def residual(previous: Column, current: Column) -> Column:
     """What `current` adds to `previous` (both `prepared`): the longest run of 2 to 40 token keys that ends the one and begins the other goes."""
     most = F.least(F.size(previous["keys"]), F.size(current["keys"]), F.lit(LONGEST_OVERLAP))
+    tail, head = F.slice(previous["keys"], F.size(previous["keys"]) - most + 1, most), F.slice(current["keys"], F.lit(1), most)
 
-    def same(n: Column) -> Column:
-        start = F.size(previous["keys"]) - n
-        return (F.get(previous["keys"], start) == F.get(current["keys"], F.lit(0))) & (F.slice(previous["keys"], start + 1, n) == F.slice(current["keys"], F.lit(1), n))
+    def longest(ends: Column) -> Column:
+        """The first key's places in the tail, the earliest first: there the two must agree up to the tail's end."""
 
-    size = F.when(most >= 2, F.get(F.filter(F.sequence(F.greatest(most, F.lit(2)), F.lit(2), F.lit(-1)), same), F.lit(0)))
+        def same(i: Column) -> Column:
+            return (F.get(ends["tail"], i) == F.get(ends["head"], F.lit(0))) & (F.slice(ends["tail"], i + 1, most - i) == F.slice(ends["head"], F.lit(1), most - i))
+
+        return most - F.get(F.filter(F.sequence(F.lit(0), most - 2), same), F.lit(0))
+
+    size = F.when((most >= 2) & F.arrays_overlap(F.slice(tail, F.lit(1), F.greatest(most - 1, F.lit(1))), F.slice(current["keys"], F.lit(1), F.lit(1))), let(F.struct(tail.alias("tail"), head.alias("head")), longest))
+    rest = lambda n: F.array_join(let(tokens(current["text"]), lambda words: F.slice(words, n + 1, F.greatest(F.size(words) - n, F.lit(0)))), " ")
     return (
         F.when(previous.isNull() | (previous["text"] == ""), current["text"])
         .when(previous["fold"] == current["fold"], "")
-        .when(size.isNotNull(), F.array_join(F.slice(current["words"], size + 1, F.greatest(F.size(current["words"]) - size, F.lit(0))), " "))
-        .otherwise(current["text"])
+        .otherwise(let(size, lambda n: F.when(n.isNotNull(), rest(n)).otherwise(current["text"])))
     )
 
 
@@ -100,14 +98,33 @@ def without_overlap(frame: DataFrame, cues_col: str = "cues") -> DataFrame:
     return out.withColumn("segments", F.filter(joined, lambda c: c["text"] != "")).drop("_now", "_left")
 
 
-_PREPARED = "struct<text:string,fold:string,words:array<string>,keys:array<string>>"
+_PREPARED = "struct<text:string,fold:string,keys:array<string>>"
 
 
-def overlap_by_lag(lines: DataFrame, by: str, order: str, text: str) -> DataFrame:
-    """The same on one row for each cue, for sequences too long for an array."""
-    out = lines.withColumn("_now", prepared(F.col(text)))
-    out = out.withColumn("_before", F.lag("_now").over(Window.partitionBy(by).orderBy(order)))
-    return out.withColumn("residual", residual(F.col("_before"), F.col("_now"))).where("residual <> ''").drop("_now", "_before")
+def overlap_by_chunks(lines: DataFrame, by: str, order: str, text: str) -> DataFrame:
+    """`lines` with a column `residual`: the same on one row for each cue, for sequences of any length.
+
+    The cues are dealt by range of sequence and order, so that a long sequence lies in many partitions. Inside a
+    partition the cue before is the row before; the last cue of each partition, one row for each, is carried over to the
+    next one that isn't empty. `order` differs within a sequence. Null texts count as empty; emptied cues go.
+    """
+    spark = lines.sparkSession
+    key = [F.col(by).asc_nulls_first(), F.col(order).asc_nulls_first()]
+    dealt = lines.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("_at", F.monotonically_increasing_id())
+    place = scratch(spark, "cue-chunks")
+    dealt.withColumn("_chunk", F.shiftrightunsigned("_at", 33)).write.parquet(place)
+    rows = spark.read.parquet(place)
+    said = F.struct(F.col(by).alias("by"), F.coalesce(text, F.lit("")).alias("text"))
+    before = F.lag(said).over(Window.partitionBy("_chunk").orderBy("_at"))
+    last = rows.groupBy("_chunk").agg(F.max_by(said, "_at").alias("carried"))
+    chunks = sorted(r[0] for r in last.select("_chunk").collect())  # partition numbers
+    steps = spark.createDataFrame(list(zip(chunks, chunks[1:], strict=False)), "_chunk long, next long")
+    carried = last.join(F.broadcast(steps), "_chunk").select(F.col("next").alias("_chunk"), "carried")
+    out = rows.withColumn("_before", before).join(F.broadcast(carried), "_chunk", "left")
+    out = out.withColumn("_before", F.coalesce("_before", "carried"))
+    previous = F.when(F.col("_before.by").eqNullSafe(F.col(by)), F.col("_before.text"))
+    left = let(prepared(previous), lambda p: let(prepared(F.coalesce(text, F.lit(""))), lambda now: residual(F.when(p["text"].isNotNull(), p), now)))
+    return out.withColumn("residual", left).where("residual <> ''").drop("_at", "_chunk", "_before", "carried")
 
 
 def transcripts(frame: DataFrame, segments_col: str = "segments") -> DataFrame:

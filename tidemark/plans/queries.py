@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..functions.binding import exploded
+from ..functions.binding import exploded, let
 from ..functions.urls import BAD_AUTHORITY, BAD_SITE, BAD_VIDEO, canonical_url
 from ..operators import audit, cues, manifest, requests, results, sarif, status, tracks
-from ..session import scratch, ship
+from ..session import scratch, ship, spread
 from . import fixtures as fx
+from .expected import folded, unescaped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,7 +38,7 @@ def document_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's non-blank lines as cues; `start` is the line's position."""
     lines = F.filter(F.transform(F.split("text", "\n", -1), t.strip), lambda x: x != "")
     numbered = F.transform(lines, lambda x, i: F.struct(i.cast("string").alias("start"), F.lit(None).cast("string").alias("end"), x.alias("text")))
-    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(numbered, F.array().cast(cues.CUES)).alias("cues"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.coalesce(numbered, F.array().cast(cues.CUES)).alias("cues"))
 
 
 def _strip_sql(x: str) -> str:
@@ -45,8 +46,8 @@ def _strip_sql(x: str) -> str:
 
 
 OVERLAP = f"""
-keyed AS (SELECT *, replace(lower(line), 'ß', 'ss') AS folded, list_filter(string_split_regex(line, '{t.WS}+'), lambda x: x <> '') AS words FROM lines),
-pairs AS (SELECT *, list_transform(words, lambda x: replace(lower(regexp_replace(x, '{t.NOT_WORD}', '', 'g')), 'ß', 'ss')) AS keys FROM keyed),
+keyed AS (SELECT *, {folded('line')} AS folded, list_filter(string_split_regex(line, '{t.WS}+'), lambda x: x <> '') AS words FROM lines),
+pairs AS (SELECT *, list_transform(list_transform(words, lambda x: regexp_replace(x, '{t.NOT_WORD}', '', 'g')), lambda y: {folded('y')}) AS keys FROM keyed),
 lagged AS (SELECT *, lag(line) OVER w AS p_line, lag(folded) OVER w AS p_folded, lag(keys) OVER w AS p_keys FROM pairs WINDOW w AS (PARTITION BY id ORDER BY i)),
 sized AS (SELECT *, list_filter(range(least(len(p_keys), len(keys), 40)::BIGINT, 1, -1), lambda n: p_keys[len(p_keys) - n + 1 : len(p_keys)] = keys[1:n])[1] AS n FROM lagged),
 kept AS (SELECT id, i, CASE WHEN p_line IS NULL OR p_line = '' THEN line WHEN p_folded = folded THEN '' WHEN n IS NOT NULL THEN array_to_string(words[n + 1 : len(words)], ' ') ELSE line END AS residual FROM sized)
@@ -74,15 +75,13 @@ def overlap_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _clean_sql(x: str) -> str:
     x = f"regexp_replace({x}, '<\\p{{Nd}}{{1,2}}:\\p{{Nd}}{{2}}:\\p{{Nd}}{{2}}[.]\\p{{Nd}}{{3}}>', '', 'g')"
     x = f"regexp_replace(regexp_replace({x}, '(?i)<br{t.WS}*/?>', chr(10), 'g'), '<[^>]+>', '', 'g')"
-    for entity, plain in t.ENTITIES:
-        x = f"replace({x}, {fx.literal(entity)}, {fx.literal(plain)})"
-    x = f"regexp_replace(replace(replace({x}, chr(160), ' '), chr(8203), ''), '[ \\t]+', ' ', 'g')"
+    x = f"regexp_replace(replace(replace({unescaped(x)}, chr(160), ' '), chr(8203), ''), '[ \\t]+', ' ', 'g')"
     return _strip_sql(f"regexp_replace({x}, '{t.WS}*\\n{t.WS}*', ' ', 'g')")
 
 
 @query(f"SELECT page_id, {_clean_sql('html')} AS text FROM pages")
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.with_clean_text(table(spark, sf_dir, "pages").select("page_id", "html"), "html", "text").select("page_id", "text")
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", t.clean_caption_text(F.col("html")).alias("text"))
 
 
 @query(f"""WITH {DOCUMENT_LINES}, {OVERLAP},
@@ -172,7 +171,7 @@ def failure_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, v[1] AS first_violation, array_to_string(v, ',') AS violations FROM r""")
 def result_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results built from documents, some with planted faults by their id, against the contract."""
-    docs = table(spark, sf_dir, "documents").where("text is not null").withColumn("run_id", F.col("doc_id"))
+    docs = spread(table(spark, sf_dir, "documents").where("text is not null")).withColumn("run_id", F.col("doc_id"))
     body = F.concat("text", F.lit("\n"))
     id_ = F.col("doc_id")
     value = F.to_json(
@@ -215,12 +214,12 @@ def audit_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.forbidden_files(table(spark, sf_dir, "documents").select(path), table(spark, sf_dir, "labels").where("toxic = 1").select(path))
 
 
-@query(f"SELECT doc_id, term FROM documents, (SELECT unnest({fx.literal(fx.TERMS)}) AS term) WHERE contains(replace(lower(text), 'ß', 'ss'), term)")
+@query(f"SELECT doc_id, term FROM documents, (SELECT unnest({fx.literal(fx.TERMS)}) AS term) WHERE contains({folded('text')}, term)")
 def term_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against a short fixed list of terms: the list is a literal of the plan, so nothing is joined."""
-    folded = table(spark, sf_dir, "documents").select("doc_id", t.fold(F.col("text")).alias("folded"))
-    hits = F.filter(F.array(*map(F.lit, fx.TERMS)), lambda x: F.contains(F.col("folded"), x))
-    return exploded(folded.select("doc_id", hits.alias("hits")), "hits", "term")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    hits = let(t.fold(F.col("text")), lambda folded: F.filter(F.array(*map(F.lit, fx.TERMS)), lambda x: F.contains(folded, x)))
+    return exploded(docs.select("doc_id", hits.alias("hits")), "hits", "term")
 
 
 @query("SELECT doc_id::VARCHAR AS path, sha256(text) AS sha256 FROM documents")
@@ -245,7 +244,7 @@ def status_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def subtitle_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     files = spark.createDataFrame(fx.SUBTITLES, "name string, path string, raw string").withColumn("raw", cues.decode_file(F.encode("raw", "UTF-8")))
-    found = cues.without_overlap(cues.parse_cues(files, full_entities=True))
+    found = cues.without_overlap(cues.parse_cues(files))
     return found.select("name", F.posexplode("segments").alias("pos", "s")).select("name", "pos", "s.start", "s.end", "s.text")
 
 

@@ -10,6 +10,7 @@ from ..operators import audit, cues, manifest, requests, results, sarif, status,
 from ..session import scratch
 from ..sources import files as sources
 from . import fixtures as fx
+from .expected import folded
 from .flow import caption_results
 from .queries import DOCUMENT_LINES, OVERLAP, SQL, _clean_sql, _strip_sql, query, table
 
@@ -78,7 +79,7 @@ def result_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TERMS = ("license", "password", "worthless")
 
 
-@query(f"""SELECT 'obsolete runtime term ''' || term || ''' remains in ' || doc_id AS failure FROM documents JOIN labels USING (doc_id), (SELECT unnest({fx.literal(list(_TERMS))}) AS term) WHERE contains(replace(lower(text), 'ß', 'ss'), term)""")
+@query(f"""SELECT 'obsolete runtime term ''' || term || ''' remains in ' || doc_id AS failure FROM documents JOIN labels USING (doc_id), (SELECT unnest({fx.literal(list(_TERMS))}) AS term) WHERE contains({folded('text')}, term)""")
 def audit_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forbidden terms in the labelled documents."""
     path = F.col("doc_id").cast("string").alias("path")
@@ -144,7 +145,7 @@ def tool_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every step of the cleaning, with entities beyond the common ones."""
     rows = spark.createDataFrame([(k, raw) for k, (raw, _) in enumerate(fx.CLEANED)], "id int, raw string")
-    return t.with_clean_text(rows, "raw", "text").select("id", "text")
+    return rows.select("id", t.clean_caption_text(F.col("raw")).alias("text"))
 
 
 @query(f"WITH r AS ({SQL['request_contract']}) SELECT request_id, url, language, true AS enabled, '2.1' AS schema_version FROM r WHERE message_ IS NULL")

@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 #: A session that has its own bound keeps it.
@@ -30,6 +30,16 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(str(path))
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """`frame` as it was read, or dealt out evenly where its files are divided, but into fewer parts than there are cores.
+
+    A file of one row group is read by one task, however many splits it has. A table of one split is small, and one
+    of as many splits as cores has work for all, so neither pays for a shuffle.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if 1 < frame.rdd.getNumPartitions() < cores else frame
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share; on one machine a temporary one will do."""
     base = spark.conf.get("spark.checkpoint.dir", None)
