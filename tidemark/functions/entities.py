@@ -23,8 +23,8 @@ _NAME = r"\A[^\t\n\f <&#;]{1,32};?"
 #: Names that count without a semicolon too, and before other characters; the longest first.
 _BARE = rf"\A(?:{'|'.join(sorted((n for n in html5 if n[-1] != ';'), key=lambda n: (-len(n), n)))})"
 _NUMBER = r"\A#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
-#: Numbers that stand for other characters (0, 13, and those that are taken as Windows-1252).
-_RENUMBERED = {0: 0xFFFD, 13: 13} | {n: ord(bytes([n]).decode("cp1252")) for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)} | {n: n for n in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+#: What the numbers 128 to 159 stand for, which is taken as Windows-1252; five of them have no character there.
+_WINDOWS = "".join(chr(n) if n in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else bytes([n]).decode("cp1252") for n in range(0x80, 0xA0))
 
 
 def _tables() -> str:
@@ -45,10 +45,10 @@ def _named(name: Column) -> Column:
 
 def _character(code: Column) -> Column:
     """The character with this number; empty for those that HTML forbids, U+FFFD for what is no character."""
-    known = F.element_at(F.array(*[F.lit(_RENUMBERED[n]) for n in range(0x80, 0xA0)]), F.when(code.between(0x80, 0x9F), code - 0x7F).otherwise(1).cast("int"))
-    code_ = F.when(code == 0, 0xFFFD).when(code.between(0x80, 0x9F), known).when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), 0xFFFD).otherwise(code)
+    windows = code.between(0x80, 0x9F)
+    plain = F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), 0xFFFD).otherwise(code)
     forbidden = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE) & (code <= 0x10FFFF)
-    return F.when(forbidden, "").otherwise(F.decode(F.unhex(F.lpad(F.hex(code_.cast("long")), 8, "0")), "UTF-32"))
+    return F.when(windows, F.substr(F.lit(_WINDOWS), (code - 0x7F).cast("int"), F.lit(1))).when(forbidden, "").otherwise(F.decode(F.unhex(F.lpad(F.hex(plain.cast("long")), 8, "0")), "UTF-32"))
 
 
 def _numbered(reference: Column) -> Column:

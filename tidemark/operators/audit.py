@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fold
+from ..functions.folding import fold
+from .terms import scan_terms
 
 RULES_BROADCAST = 10_000
 
@@ -37,6 +38,12 @@ def term_hits(files: DataFrame, terms: DataFrame, what: str = "obsolete runtime
     return hits.select(F.concat(F.lit(f"{what} '"), "term", F.lit("' remains in "), "path").alias("failure"))
 
 
+def any_term_hits(files: DataFrame, terms: DataFrame, what: str = "obsolete runtime term") -> DataFrame:
+    """The same where every term is looked for in every file: each text is read once for all terms (see `scan_terms`)."""
+    hits = scan_terms(files.select("path", "text"), terms)
+    return hits.select(F.concat(F.lit(f"{what} '"), "term", F.lit("' remains in "), "path").alias("failure"))
+
+
 def missing_needles(files: DataFrame, needles: DataFrame) -> DataFrame:
     """Messages of (path, needle, message) rules whose file exists but lacks the needle."""
     return files.select("path", "text").join(small(needles.select("path", "needle", "message")), "path").where(~F.contains("text", F.col("needle"))).select(F.col("message").alias("failure"))

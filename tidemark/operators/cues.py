@@ -137,7 +137,7 @@ def transcripts(frame: DataFrame, segments_col: str = "segments") -> DataFrame:
 
 def first_usable_file(files: DataFrame, by: str, path_col: str = "path") -> DataFrame:
     """For each request the file with text whose path comes first, with its format."""
-    good = files.where("transcript is not null")
     rest = [c for c in files.columns if c not in (by, path_col)]
-    best = good.groupBy(by).agg(F.min(F.struct(path_col, *rest)).alias("best"))
+    # a filter on the text would be pushed below it, and the text be computed twice
+    best = files.groupBy(by).agg(F.min(F.when(F.col("transcript").isNotNull(), F.struct(path_col, *rest))).alias("best")).where("best is not null")
     return best.select(by, "best.*").withColumn("format", F.regexp_extract(path_col, r"\.([^.]*)\z", 1))

@@ -25,15 +25,13 @@ def _automaton(shard: Broadcast):
     """The worker's automaton of a shard, kept until another one is asked for."""
     import ahocorasick
 
-    key = shard._jid if hasattr(shard, "_jid") else id(shard)
-    if key not in _BUILT:
-        _BUILT.clear()
+    if _BUILT.get("shard") is not shard:
         built = ahocorasick.Automaton()
         for number, term in enumerate(shard.value):
             built.add_word(term, number)
         built.make_automaton()
-        _BUILT[key] = built
-    return _BUILT[key]
+        _BUILT.update(shard=shard, automaton=built)
+    return _BUILT["automaton"]
 
 
 def _search(shard: Broadcast):

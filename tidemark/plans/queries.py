@@ -262,4 +262,4 @@ def queue_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain(resolve_stream(request_stream(spark, f"{base}/in", 4)), f"{base}/out", f"{base}/state")
 
 
-from . import records  # noqa: E402, F401  (registers its queries)
+from . import records, texts  # noqa: E402, F401  (register their queries)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import audit, cues, manifest, requests, results, sarif, status, tracks
-from ..session import scratch
+from ..session import scratch, spread
 from ..sources import files as sources
 from . import fixtures as fx
 from .expected import folded
@@ -169,8 +169,11 @@ def sarif_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Each document is a request: its lines as a subtitle file, and by its id a refusal, no track, or no file.
+#: Every third document's lines end as the next one begins, but for the case, and have characters that are written as references.
+_PLANTED = [("caf&eacute; &hellip;", "caf\u00e9 \u2026"), ("&#x1F600;&#128; x", "\U0001f600\u20ac x"), ("&NotEqualTilde; &notit;", "\u2242\u0338 \u00acit;"), ("&amp; &copy; &ampx &#65;", "& \u00a9 &x A"), ("&Zopf;&bogus; &#xZ;", "\u2124&bogus; &#xZ;")]
+_HEAD, _TAIL = "\u1e9eo \ufb01n ", " SSO, FIN"
 _FLOW = f"""{DOCUMENT_LINES.rsplit("lines AS", 1)[0]}
-cleaned AS (SELECT id, j, {_clean_sql("line")} AS line FROM stripped WHERE line <> ''),
+cleaned AS (SELECT id, j, CASE WHEN id % 3 = 0 THEN trim('{_HEAD}' || {fx.literal([p for _, p in _PLANTED])}[id % {len(_PLANTED)} + 1] || ' ' || {_clean_sql("line")} || '{_TAIL}') ELSE {_clean_sql("line")} END AS line FROM stripped WHERE line <> ''),
 lines AS (SELECT id, line, row_number() OVER (PARTITION BY id ORDER BY j) - 1 AS i FROM cleaned WHERE line <> ''), {OVERLAP},
 joined AS (SELECT id, string_agg(residual, chr(10) ORDER BY i) AS body, count(*) AS n FROM kept WHERE residual <> '' GROUP BY id),
 done AS (SELECT id, n, {_strip_sql('body')} || chr(10) AS body FROM joined),
@@ -178,13 +181,15 @@ flow AS (SELECT doc_id, CASE WHEN doc_id % 10 = 1 THEN 'access_blocked' WHEN doc
 
 
 def flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("request_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.col("doc_id").cast("string").alias("request_id"), F.coalesce("text", F.lit("")).alias("text"))
     n = F.col("doc_id")
     asked = docs.select("request_id", F.lit("https://www.youtube.com/watch?v=abcDEF123_-").alias("url"), F.lit("abcDEF123_-").alias("video_id"), F.lit("video").alias("source_type"), F.lit("auto").alias("language"))
     meta = F.when(n % 10 == 2, '{"subtitles": {"live_chat": [{"url": "u"}]}}').otherwise('{"automatic_captions": {"de": [{"url": "u"}], "nl": [{"url": "u"}]}, "subtitles": null}')
     logs = docs.select("request_id", F.lit(0).alias("exit_code"), meta.alias("stdout"), F.when(n % 10 == 1, "HTTP Error 403").otherwise("").alias("stderr"))
     cue = lambda x: F.concat(F.lit("00:00:01.000 --> 00:00:02.000\n"), x)
     lines = F.filter(F.transform(F.split("text", "\n", -1), t.strip), lambda x: x != "")
+    planted = F.element_at(F.array(*[F.lit(raw) for raw, _ in _PLANTED]), (n % len(_PLANTED) + 1).cast("int"))
+    lines = F.when(n % 3 == 0, F.transform(lines, lambda x: F.concat(F.lit(_HEAD), planted, F.lit(" "), x, F.lit(_TAIL)))).otherwise(lines)
     own = docs.where(n % 10 != 3).select("request_id", F.lit("source.vtt").alias("path"), F.concat(F.lit("WEBVTT\n\n"), F.array_join(F.transform(lines, cue), "\n\n")).alias("raw"))
     return caption_results(asked, logs, own)
 
@@ -200,7 +205,8 @@ def caption_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kept_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs' results side by side in files, and how each run ends."""
     base = scratch(spark, "runs")
-    found = flow(spark, sf_dir).select("request_id", "status", "error")
+    flow(spark, sf_dir).select("request_id", "status", "error").write.parquet(f"{base}-results")  # computed once, kept twice
+    found = spark.read.parquet(f"{base}-results")
     for stamp in ("a", "b"):
         sources.keep_run(found, base, stamp)
     rows = spark.read.schema("request_id string, status string, error string, run string").json(base)
