@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import attention_lm, bitplane, chat_format, decontaminate, int8_tiles, jaccard_join, language_id, packing, substring_dedup, toxicity
+from tidemark.llm import attention_lm, bitplane, chat_format, decontaminate, int8_tiles, jaccard_join, kernel, language_id, packing, substring_dedup, toxicity
 from tidemark.llm.common import components
 
 R = random.Random(11)
@@ -133,6 +133,45 @@ def test_cut_passages_of_repeated_ids(spark):
     assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted([(1, passage), (7, "x  y"), (7, other), (7, other), (8, passage[:100])])
 
 
+def test_packed_rows_grow_with_the_entries():
+    """However many buckets there are, an emit writes rows for its entries alone, and loses none of them."""
+    for entries in (100, 1000):
+        for buckets in (4, 1000, 1_000_000):
+            r = np.random.default_rng(entries)
+            doc, key = r.integers(0, 50, entries), r.integers(0, entries // 2, entries).astype(np.uint64)
+            marks = r.integers(0, 3, (entries, substring_dedup.MARKS)).astype(np.uint32)
+            a, b, first = substring_dedup.star_pairs(key, doc, marks)
+            packed = substring_dedup._emit(buckets, [(doc, key, marks)])
+            assert packed.num_rows <= min(buckets, len(first) + len(a)) and len(set(packed.column(0).to_pylist())) == packed.num_rows
+            got = [np.concatenate([np.frombuffer(x.as_py(), kind) for x in packed.column(k)]) for k, kind in ((1, np.uint64), (2, np.int64), (4, np.int64), (5, np.int64))]
+            assert sorted(zip(got[0].tolist(), got[1].tolist(), strict=True)) == sorted(zip(key[first].tolist(), doc[first].tolist(), strict=True))
+            assert sorted(zip(got[2].tolist(), got[3].tolist(), strict=True)) == sorted(zip(a.tolist(), b.tolist(), strict=True))
+
+
+def test_near_passages_behind_a_shared_line_are_found():
+    """Pairs of passages with edits, each behind a line that all have: pairing by stars finds nine of ten and more."""
+    line = words(12)
+    found, pairs = 0, 120
+    texts = []
+    for k in range(pairs):
+        own = [f"p{k}x{i}" for i in range(60)]
+        other = list(own)
+        for _ in range(2):
+            other[R.randrange(60)] = f"e{R.randrange(10**6)}"
+        texts += [(2 * k, [*line, *own]), (2 * k + 1, [*line, *other])]
+    entries = []
+    for doc, w in texts:
+        data = np.frombuffer(" ".join(w).encode(), np.uint8)
+        hashes, rows = kernel.shingle_hashes(*kernel.word_hashes(data, np.array([0, len(data)])), 5)
+        row, key, marks = substring_dedup.joint_keys(hashes, rows)
+        entries.append((np.full(len(row), doc), key, marks))
+    doc, key, marks = (np.concatenate(x) for x in zip(*entries, strict=True))
+    a, b, _ = substring_dedup.star_pairs(key, doc, marks)
+    linked = set(zip(a.tolist(), b.tolist(), strict=True))
+    found = sum((2 * k + 1, 2 * k) in linked for k in range(pairs))
+    assert found >= 0.9 * pairs
+
+
 def test_near_passages_are_found():
     """At least nine of ten passages of similarity 0.75 or more, of any length and with edits anywhere."""
     import pyarrow as pa
