@@ -15,6 +15,7 @@ WHOLE = r"(?s)\A([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))
 AUTHORITY = r"(?s)\A([^:]*)(?::(.*))?\z"
 #: Fixed value: the form of a video id.
 VIDEO_ID = r"\A[A-Za-z0-9_-]{11}\z"
+#: Messages that callers compare.
 BAD_SITE = "url must be a direct HTTPS video or Short URL of the supported site"
 BAD_AUTHORITY = "URL credentials and custom ports are not allowed"
 BAD_VIDEO = "url must point to one video or Short"

@@ -50,7 +50,7 @@ def missing_needles(files: DataFrame, needles: DataFrame) -> DataFrame:
 
 
 def contract_failures(contracts: DataFrame, scalars: dict[str, str], banned: list[str], pins: dict[str, tuple[str, str]], value_col: str = "value") -> DataFrame:
-    """Failures of a JSON contract: scalars to equal, keys it must not have, and the exact set of tools with version and digest."""
+    """Failures (with the other columns) of a JSON contract: scalars to equal, keys it must not have, and the exact set of tools with version and digest."""
     fields = F.from_json(value_col, "map<string,variant>")
     get = lambda key: F.try_variant_get(F.get(F.map_values(F.map_filter(fields, lambda k, _: k == key)), F.lit(0)), "$", "string")
     tools = F.from_json(value_col, "tools array<struct<id:string,version:string,sha256:string>>")["tools"]
@@ -69,7 +69,7 @@ def contract_failures(contracts: DataFrame, scalars: dict[str, str], banned: lis
 
     checks += [pinned(name, *pin) for name, pin in pins.items()]
     found = F.filter(F.array(*checks), lambda c: c.isNotNull())
-    return contracts.select(F.explode(found).alias("failure"))
+    return contracts.select(*[c for c in contracts.columns if c != value_col], F.explode(found).alias("failure"))
 
 
 def tool_versions(contracts: DataFrame, value_col: str = "value") -> DataFrame:

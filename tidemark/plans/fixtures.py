@@ -69,11 +69,11 @@ URLS = [
 ]
 
 TRACKS = [
-    ("auto-manual", ["en"], ["en"], "auto"),
-    ("auto-language-first", ["nl"], ["en"], "auto"),
+    ("auto-manual", ["nl-BE"], ["nl-BE"], "auto"),
+    ("auto-language-first", ["nl-BE", "sv"], ["en-NZ"], "auto"),
     ("auto-other-kind-first", ["zz"], ["aa"], "auto"),
     ("auto-family", ["en-GB", "en-AU"], [], "auto"),
-    ("exact", ["en"], ["en-US"], "en-US"),
+    ("exact", ["pt"], ["pt-BR", "pt"], "pt-BR"),
     ("exact-case", ["EN-us"], [], "en-US"),
     ("exact-automatic-before-family", ["de-AT"], ["de"], "de"),
     ("family", ["fr-CA"], ["fr-BE"], "fr"),

@@ -63,15 +63,6 @@ def overlap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("s.start").cast("long").alias("line_no"), F.col("s.text").alias("residual"))
 
 
-@query(f"WITH lines AS (SELECT id, i, line FROM {fx.values(fx.rolling_cues(), 'id, i, line')}), {OVERLAP} SELECT id AS seq, i::BIGINT AS i, residual FROM kept WHERE residual <> ''")
-def overlap_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(fx.rolling_cues(), "seq int, i long, text string")
-    talks = rows.groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("i", "text"))).alias("c"))
-    talks = talks.select("seq", F.transform("c", lambda x: F.struct(x["i"].cast("string").alias("start"), F.lit(None).cast("string").alias("end"), x["text"].alias("text"))).alias("cues"))
-    found = exploded(cues.without_overlap(talks).select("seq", "segments"), "segments", "s")
-    return found.select("seq", F.col("s.start").cast("long").alias("i"), F.col("s.text").alias("residual"))
-
-
 def _clean_sql(x: str) -> str:
     x = f"regexp_replace({x}, '<\\p{{Nd}}{{1,2}}:\\p{{Nd}}{{2}}:\\p{{Nd}}{{2}}[.]\\p{{Nd}}{{3}}>', '', 'g')"
     x = f"regexp_replace(regexp_replace({x}, '(?i)<br{t.WS}*/?>', chr(10), 'g'), '<[^>]+>', '', 'g')"
@@ -108,16 +99,6 @@ def track_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracks.choose_tracks(found, "source")
 
 
-@query(f"""WITH v AS (SELECT * FROM {fx.values(fx.TRACKS, 'request_id, manual, automatic, preferred')}),
-c AS (SELECT request_id, preferred, unnest(manual) AS language, 'manual' AS kind FROM v UNION ALL SELECT request_id, preferred, unnest(automatic), 'automatic' FROM v),
-r AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY {_rank_sql('language', "kind = 'automatic'", 'preferred')}, language) AS k FROM c)
-SELECT v.request_id, language, kind FROM v LEFT JOIN (SELECT * FROM r WHERE k = 1) r ON r.request_id = v.request_id""")
-def track_choice_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(fx.TRACKS, "request_id string, manual array<string>, automatic array<string>, preferred string")
-    best = rows.select("request_id", tracks.choose_track(F.col("manual"), F.col("automatic"), F.col("preferred")).alias("t"))
-    return best.select("request_id", "t.language", "t.kind")
-
-
 URL_PARTS = f"""trimmed AS (SELECT id, regexp_replace({_strip_sql("coalesce(raw, '')")}, '[\\t\\r\\n]', '', 'g') AS u FROM urls),
 parts AS (SELECT id, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS scheme, regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS authority,
   regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*:(//[^/?#]*)?([^?#]*)', 2) AS path, regexp_extract(u, '^[^?#]*\\?([^#]*)', 1) AS query FROM trimmed),
@@ -141,20 +122,6 @@ def url_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", canonical_url(F.col("raw")).alias("c")).select("id", "c.*")
 
 
-@query(f"""WITH v AS (SELECT id, value, json_valid(value) AS valid, CASE WHEN json_valid(value) THEN json_type(value) END AS kind FROM {fx.values(list(enumerate(fx.REQUESTS)), 'id, value')}),
-o AS (SELECT *, CASE WHEN kind = 'OBJECT' THEN list_sort(list_filter(json_keys(value), lambda k: k NOT IN ('enabled', 'request_id', 'url', 'language'))) END AS unknown,
-  CASE WHEN kind = 'OBJECT' THEN trim(coalesce(value->>'request_id', '')) END AS rid, CASE WHEN kind = 'OBJECT' THEN trim(coalesce(nullif(value->>'language', ''), 'auto')) END AS lang,
-  CASE WHEN kind = 'OBJECT' THEN json_type(value, '$.enabled') = 'BOOLEAN' AND (value->>'enabled') = 'true' END AS on_, CASE WHEN kind = 'OBJECT' THEN value->>'url' END AS raw FROM v),
-urls AS (SELECT id, raw FROM o), {URL_PARTS}
-SELECT o.id::BIGINT AS id, CASE WHEN NOT valid THEN 'invalid JSON' WHEN kind <> 'OBJECT' THEN 'request must be a JSON object' WHEN len(unknown) > 0 THEN 'unsupported request fields: ' || array_to_string(unknown, ', ')
-  WHEN NOT regexp_full_match(rid, '[A-Za-z0-9][A-Za-z0-9._-]{{2,79}}') THEN 'invalid request_id' WHEN on_ IS NOT TRUE THEN 'enabled must be true'
-  WHEN NOT regexp_full_match(lang, 'auto|[A-Za-z]{{2,3}}(-[A-Za-z0-9]{{2,16}})?') THEN 'invalid language' ELSE c.message END AS message_,
-  CASE WHEN message_ IS NULL THEN rid END AS request_id, CASE WHEN message_ IS NULL THEN lang END AS language, CASE WHEN message_ IS NULL THEN c.url END AS url FROM o JOIN canonical c USING (id)""")
-def request_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = requests.resolve_requests(spark.createDataFrame(list(enumerate(fx.REQUESTS)), "id long, value string"))
-    return rows.select("id", F.col("request.message").alias("message_"), "request.request_id", "request.language", "request.url")
-
-
 _MARKED = " OR ".join(f"contains(x, {fx.literal(m)})" for m in t.ACCESS_MARKERS)
 
 
@@ -191,11 +158,6 @@ def result_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("run_id").alias("doc_id"), "first_violation", F.array_join("violations", ",").alias("violations"))
 
 
-@query(f"SELECT path, rule_id, severity::DOUBLE AS security_severity, location, message FROM {fx.values(fx.FINDINGS, 'path, rule_id, severity, location, message')}")
-def sarif_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sarif.high_findings(spark.createDataFrame(fx.REPORTS, "path string, value string"))
-
-
 @query("SELECT event_id, try_cast(props->>'k' AS DOUBLE) AS severity FROM events WHERE NOT (try_cast(props->>'k' AS DOUBLE) < 7.0)")
 def severity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", F.expr("try_cast(get_json_object(props, '$.k') as double)").alias("severity"))
@@ -240,26 +202,4 @@ def status_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.latest(table(spark, sf_dir, "events").select("user_id", "event_id", "event_type"), ["user_id"], "event_id").select("user_id", "event_type", "event_id")
 
 
-@query(f"SELECT name, pos::INTEGER AS pos, start, \"end\", text FROM {fx.values(fx.SEGMENTS, 'name, pos, start, \"end\", text')}")
-def subtitle_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
-    files = spark.createDataFrame(fx.SUBTITLES, "name string, path string, raw string").withColumn("raw", cues.decode_file(F.encode("raw", "UTF-8")))
-    found = cues.without_overlap(cues.parse_cues(files))
-    return found.select("name", F.posexplode("segments").alias("pos", "s")).select("name", "pos", "s.start", "s.end", "s.text")
-
-
-@query(f"""WITH r AS ({SQL['request_contract']}), q AS (SELECT *, CASE WHEN id < 3 THEN 'req-' || (id + 1) ELSE 'file' || id END || '.json' AS file_name FROM r),
-m AS (SELECT *, coalesce(message_, CASE WHEN file_name <> request_id || '.json' THEN 'file name must equal request_id' END) AS message FROM q)
-SELECT file_name, message, CASE WHEN message IS NULL THEN request_id END AS request_id, CASE WHEN message IS NULL THEN url END AS url, CASE WHEN message IS NULL THEN language END AS language FROM m""")
-def queue_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixed requests as queued files, drained by a stream; one file has a wrong name."""
-    from ..sources.files import put_text
-    from ..streaming.queue import drain, request_stream, resolve_stream
-
-    base = scratch(spark, "queue")
-    for k, value in enumerate(fx.REQUESTS):
-        put_text(spark, f"{base}/in/{f'req-{k + 1}' if k < 3 else f'file{k}'}.json", value)
-    return drain(resolve_stream(request_stream(spark, f"{base}/in", 4)), f"{base}/out", f"{base}/state")
-
-
-from . import records, texts  # noqa: E402, F401  (register their queries)
+from . import cases, records, texts  # noqa: E402, F401  (register their queries)

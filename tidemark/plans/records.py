@@ -38,15 +38,6 @@ def acquisition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "o.status", "o.error")
 
 
-@query(f"SELECT id, manual, automatic, language, kind FROM {fx.values(fx.TRACK_CODES, 'id, manual, automatic, language, kind')}")
-def track_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Usable codes of raw metadata and the chosen track."""
-    rows = spark.createDataFrame([(k, m) for k, m in enumerate(fx.METADATA)], "id int, meta string").select("id", F.from_json("meta", "subtitles map<string,variant>, automatic_captions map<string,variant>").alias("m"))
-    rows = rows.select("id", tracks.track_codes(F.col("m.subtitles")).alias("a"), tracks.track_codes(F.col("m.automatic_captions")).alias("b"))
-    found = rows.withColumn("t", tracks.choose_track(F.col("a"), F.col("b"), F.lit("auto")))
-    return found.select("id", F.array_join("a", ",").alias("manual"), F.array_join("b", ",").alias("automatic"), "t.language", "t.kind")
-
-
 @query("""WITH f AS (SELECT source, lpad(doc_id::VARCHAR, 12, '0') || CASE WHEN doc_id % 2 = 0 THEN '.vtt' ELSE '.srt' END AS path, text FROM documents WHERE doc_id % 3 <> 0 AND text IS NOT NULL)
 SELECT source, min(path) AS path, right(min(path), 3) AS format, sha256(arg_min(text, path)) AS sha256 FROM f GROUP BY source""")
 def usable_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,17 +56,6 @@ def error_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", t.split_error(raw).alias("e")).select("conv_id", "turn", "e.status", "e.error")
 
 
-@query(f"SELECT id, first_violation FROM {fx.values([(k, v) for k, (v, *_) in enumerate(fx.RESULTS)], 'id, first_violation')}")
-def result_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A case for each rule of the result contract; the pinned tool versions come from a contract file's text."""
-    cases = list(enumerate(fx.RESULTS))
-    frame = spark.createDataFrame([(k, value) for k, (_, value, _, _) in cases], "run_id int, value string")
-    texts = spark.createDataFrame([(k, body) for k, (_, _, body, _) in cases if body is not None], "run_id int, transcript string")
-    paths = spark.createDataFrame([(k, p) for k, (_, _, _, own) in cases for p in own], "run_id int, rel_path string")
-    pins = audit.tool_versions(spark.createDataFrame([(fx.CONTRACTS[0],)], "value string")).first().versions
-    return results.validate_results(frame, texts, paths, pins).select(F.col("run_id").alias("id"), "first_violation")
-
-
 _TERMS = ("license", "password", "worthless")
 
 
@@ -96,14 +76,6 @@ def audit_needles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.missing_needles(docs.select(path, "text"), needles)
 
 
-@query(f"SELECT id, failure FROM {fx.values(fx.CONTRACT_FAILURES, 'id, failure')}")
-def audit_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scalars, leaked keys, the exact tool set and its pins, for each of several contract texts."""
-    rows = [spark.createDataFrame([(value,)], "value string") for value in fx.CONTRACTS]
-    found = [audit.contract_failures(r, fx.SCALARS, fx.BANNED, fx.PINS).select(F.lit(k).alias("id"), "failure") for k, r in enumerate(rows)]
-    return audit.audit(*found)
-
-
 @query(f"WITH f AS (({SQL['audit_missing']}) UNION ALL ({SQL['audit_present']})) SELECT count(*) = 0 AS ok, count(*) AS failures FROM f")
 def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .queries import QUERIES
@@ -135,39 +107,6 @@ def publish_preconditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", found.alias("message"))
 
 
-@query(f"SELECT id, version FROM {fx.values([(k, v) for k, (*_, v) in enumerate(fx.VERSIONS)], 'id, version')}")
-def tool_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(k, *x[:3]) for k, x in enumerate(fx.VERSIONS)], "id int, named boolean, code int, out string")
-    return rows.select("id", F.when(F.col("named"), t.tool_version(F.col("code"), F.col("out"), "deno")).otherwise(t.tool_version(F.col("code"), F.col("out"))).alias("version"))
-
-
-@query(f"SELECT id, text FROM {fx.values([(k, out) for k, (_, out) in enumerate(fx.CLEANED)], 'id, text')}")
-def clean_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every step of the cleaning, with entities beyond the common ones."""
-    rows = spark.createDataFrame([(k, raw) for k, (raw, _) in enumerate(fx.CLEANED)], "id int, raw string")
-    return rows.select("id", t.clean_caption_text(F.col("raw")).alias("text"))
-
-
-@query(f"WITH r AS ({SQL['request_contract']}) SELECT request_id, url, language, true AS enabled, '2.1' AS schema_version FROM r WHERE message_ IS NULL")
-def resolved_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests read from JSON files, resolved, written as resolved requests and read again."""
-    base = scratch(spark, "requests")
-    for k, value in enumerate(fx.REQUESTS):
-        sources.put_text(spark, f"{base}/in/{k}.json", value)
-    sources.write_resolved(requests.resolve_requests(sources.read_json_files(spark, f"{base}/in")), f"{base}/out")
-    return sources.read_resolved(spark, f"{base}/out").select("request_id", "url", "language", "enabled", "schema_version")
-
-
-@query(f"SELECT path, rule_id, location FROM {fx.values([(p, r, at) for p, r, _, at, _ in fx.FINDINGS], 'path, rule_id, location')}")
-def sarif_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan reports read from several files at once."""
-    base = scratch(spark, "reports")
-    for name, value in fx.REPORTS:
-        sources.put_text(spark, f"{base}/{name}", value)
-    found = sarif.high_findings(sources.read_json_files(spark, *(f"{base}/{name}" for name, _ in fx.REPORTS)).drop("path"))
-    return found.select(F.col("file_name").alias("path"), "rule_id", "location")
-
-
 #: Each document is a request: its lines as a subtitle file, and by its id a refusal, no track, or no file.
 #: Every third document's lines end as the next one begins, but for the case, and have characters that are written as references.
 _PLANTED = [("caf&eacute; &hellip;", "caf\u00e9 \u2026"), ("&#x1F600;&#128; x", "\U0001f600\u20ac x"), ("&NotEqualTilde; &notit;", "\u2242\u0338 \u00acit;"), ("&amp; &copy; &ampx &#65;", "& \u00a9 &x A"), ("&Zopf;&bogus; &#xZ;", "\u2124&bogus; &#xZ;")]

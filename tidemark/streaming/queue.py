@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from ..operators.requests import validate_request
 
 
-def request_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
-    """A stream of (file_name, value), one row for each queued JSON file."""
+def request_stream(spark: SparkSession, path: str, files_per_trigger: int = 100, named_by: str | None = None) -> DataFrame:
+    """A stream of (file_name, value), one row for each queued JSON file. With `named_by` the name is that of the folder
+    `<named_by>=<name>` in which a writer partitioned by that column has put the file."""
     stream = spark.readStream.format("text").schema("value string").option("wholetext", "true").option("maxFilesPerTrigger", files_per_trigger)
-    return stream.load(path).select(F.col("_metadata.file_name").alias("file_name"), "value")
+    name = F.regexp_extract("_metadata.file_path", f"/{named_by}=([^/]+)/", 1) if named_by else F.col("_metadata.file_name")
+    return stream.load(path).select(name.alias("file_name"), "value")
 
 
 def resolve_stream(stream: DataFrame) -> DataFrame:
