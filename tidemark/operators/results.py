@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.binding import let
@@ -120,6 +120,19 @@ def violations(result: Column, transcript: Column, artifacts: Column, versions:
     return F.filter(named, lambda v: v.isNotNull())
 
 
+RULES = tuple(f"V{k}" for k in range(29))
+
+
+def observed(validated: DataFrame) -> tuple[DataFrame, Observation]:
+    """`validated` (from `validate_results`) and an observation of how many rows there are and how many violate each rule.
+
+    The counts come from the pass that writes or collects the rows, and no second one: ask the observation after it.
+    """
+    seen = Observation("rules")
+    counts = [F.count_if(F.array_contains("violations", rule)).alias(rule) for rule in RULES]
+    return validated.observe(seen, F.count("*").alias("results"), *counts), seen
+
+
 def validate_results(results: DataFrame, transcripts: DataFrame, artifacts: DataFrame, versions: dict[str, str], by: str = "run_id", value_col: str = "value") -> DataFrame:
     """`results` with first_violation (null: valid) and violations. A value that isn't JSON violates V0 alone.
 

@@ -133,10 +133,7 @@ def failure_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", "turn", t.classify_failure(F.col("text")).alias("status"))
 
 
-@query("""WITH r AS (SELECT doc_id, list_filter([CASE WHEN doc_id % 7 = 0 THEN 'V7' END, CASE WHEN doc_id % 11 = 0 THEN 'V14' END, CASE WHEN doc_id % 13 = 0 THEN 'V16' END, CASE WHEN trim(text, chr(32) || chr(9) || chr(10) || chr(13)) = '' THEN 'V18' END, CASE WHEN doc_id % 10 = 0 THEN 'V19' END,
-  CASE WHEN n_chars IS DISTINCT FROM length(text) THEN 'V20' END, CASE WHEN doc_id % 17 = 0 THEN 'V27' END, CASE WHEN doc_id % 17 = 0 THEN 'V28' END], lambda v: v IS NOT NULL) AS v FROM documents WHERE text IS NOT NULL)
-SELECT doc_id, v[1] AS first_violation, array_to_string(v, ',') AS violations FROM r""")
-def result_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+def contract_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results built from documents, some with planted faults by their id, against the contract."""
     docs = spread(table(spark, sf_dir, "documents").where("text is not null")).withColumn("run_id", F.col("doc_id"))
     body = F.concat("text", F.lit("\n"))
@@ -154,7 +151,14 @@ def result_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     artifacts = docs.select("run_id", F.explode(F.when(id_ % 17 == 0, F.array(F.lit("result.json"), F.lit("Clip.MP4"))).otherwise(F.array(F.lit("result.json"), F.lit("transcript.txt")))).alias("rel_path"))
-    found = results.validate_results(docs.select("run_id", value.alias("value")), docs.select("run_id", body.alias("transcript")), artifacts, {})
+    return results.validate_results(docs.select("run_id", value.alias("value")), docs.select("run_id", body.alias("transcript")), artifacts, {})
+
+
+@query("""WITH r AS (SELECT doc_id, list_filter([CASE WHEN doc_id % 7 = 0 THEN 'V7' END, CASE WHEN doc_id % 11 = 0 THEN 'V14' END, CASE WHEN doc_id % 13 = 0 THEN 'V16' END, CASE WHEN trim(text, chr(32) || chr(9) || chr(10) || chr(13)) = '' THEN 'V18' END, CASE WHEN doc_id % 10 = 0 THEN 'V19' END,
+  CASE WHEN n_chars IS DISTINCT FROM length(text) THEN 'V20' END, CASE WHEN doc_id % 17 = 0 THEN 'V27' END, CASE WHEN doc_id % 17 = 0 THEN 'V28' END], lambda v: v IS NOT NULL) AS v FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, v[1] AS first_violation, array_to_string(v, ',') AS violations FROM r""")
+def result_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contract_results(spark, sf_dir)
     return found.select(F.col("run_id").alias("doc_id"), "first_violation", F.array_join("violations", ",").alias("violations"))
 
 

@@ -9,10 +9,11 @@ from ..functions import text as t
 from ..operators import audit, cues, manifest, requests, results, sarif, status, tracks
 from ..session import scratch, spread
 from ..sources import files as sources
+from ..streaming import statuses
 from . import fixtures as fx
 from .expected import folded
 from .flow import caption_results
-from .queries import DOCUMENT_LINES, OVERLAP, SQL, _clean_sql, _strip_sql, query, table
+from .queries import DOCUMENT_LINES, OVERLAP, SQL, _clean_sql, _strip_sql, contract_results, query, table
 
 _BLOCKED = "(" + " OR ".join(f"contains(lower({{0}}), {fx.literal(m)})" for m in t.ACCESS_MARKERS) + ")"
 
@@ -151,3 +152,49 @@ def kept_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.schema("request_id string, status string, error string, run string").json(base)
     ends = results.final_status(rows).select("request_id", "failure").distinct()
     return rows.join(ends, "request_id").groupBy("run", "status").agg(F.count("*").alias("results"), F.count("failure").alias("failures"))
+
+
+@query(f"""WITH {_FLOW} SELECT doc_id::VARCHAR AS request_id, status, CASE WHEN status = 'ok' THEN sha256(body) END AS sha256, CASE WHEN status = 'ok' THEN 'result.json,transcript.txt' ELSE 'result.json' END AS files FROM flow""")
+def published_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results published as a run beside a former one and one that was never committed, read back, and what files each has."""
+    base = scratch(spark, "published")
+    found = flow(spark, sf_dir)
+    sources.publish_run(found, base, "2")
+    again = sources.published(spark, base, found.schema)
+    sources.publish_run(again.where("status <> 'ok'"), base, "1")
+    again.limit(1).write.json(f"{base}/data/run=3")
+    last = sources.published(spark, base, found.schema)
+    files = sources.listed(last).groupBy("request_id").agg(F.array_join(F.array_sort(F.collect_list("rel_path")), ",").alias("files"))
+    return last.select("request_id", "status", F.sha2("transcript", 256).alias("sha256")).join(files, "request_id")
+
+
+@query("""WITH s AS (SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id) SELECT * FROM s""")
+def status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest status of every user from a stream of shuffled files, in which every tenth event comes twice."""
+    base = scratch(spark, "statuses")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    events.unionByName(events.where("event_id % 10 = 0")).repartition(6, F.xxhash64("event_id")).write.parquet(f"{base}/in")
+    latest = statuses.latest_stream(statuses.table_stream(spark, f"{base}/in", events.schema, 2), ["user_id"], "event_id")
+    statuses.keep_batches(latest, f"{base}/changes", f"{base}/state", "update")
+    return statuses.latest_kept(spark, f"{base}/changes", events.schema, ["user_id"], "event_id")
+
+
+@query(SQL["status_map"])
+def outbox_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads of all events from a stream in which every tenth event comes twice: each is in the outbox once."""
+    base = scratch(spark, "outbox")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    events.unionByName(events.where("event_id % 10 = 0")).repartition(6, F.xxhash64("event_id")).write.parquet(f"{base}/in")
+    made = status.payload(F.concat(F.lit("ci/"), F.col("user_id").cast("string")), F.col("event_type"), F.lit("o/r"), F.col("event_id").cast("string"))
+    statuses.outbox(statuses.table_stream(spark, f"{base}/in", events.schema, 2), made, "event_id", f"{base}/out", f"{base}/state")
+    return spark.read.parquet(f"{base}/out").select("event_id", "state", "description", "target_url")
+
+
+@query(f"""WITH r AS ({SQL['result_contract']}), v AS (SELECT unnest(string_split(violations, ',')) AS rule FROM r WHERE violations <> ''),
+n AS (SELECT 'V' || k AS rule FROM (SELECT unnest(range(29)) AS k)) SELECT n.rule, count(v.rule)::BIGINT AS violations, (SELECT count(*) FROM r)::BIGINT AS results FROM n LEFT JOIN v ON n.rule = v.rule GROUP BY n.rule""")
+def rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many results violate each rule, counted by the pass that writes them."""
+    validated, seen = results.observed(contract_results(spark, sf_dir))
+    validated.select("run_id", "violations").write.parquet(scratch(spark, "validated"))
+    counts = seen.get
+    return spark.createDataFrame([(rule, counts[rule], counts["results"]) for rule in results.RULES], "rule string, violations long, results long")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.cues import decode_file
 
@@ -45,6 +48,46 @@ def keep_run(results: DataFrame, path: str, stamp: str) -> str:
     return place
 
 
+def publish_run(results: DataFrame, path: str, stamp: str) -> dict[str, int]:
+    """All results of a run, whole or not at all: rows as JSON lines below `data/run=<stamp>`, in as many files as there are tasks
+    and not one for each request, then one small file below `committed` that makes the run count. Gives that file's content.
+
+    A run that ends before it is committed leaves former runs as they were, and may be published again under its stamp;
+    a committed one may not.
+    """
+    spark = results.sparkSession
+    if stamp in committed_runs(spark, path):
+        raise ValueError(f"run {stamp} is committed already")
+    seen = Observation("run")
+    text = F.coalesce(F.length("transcript"), F.lit(0))
+    counted = results.observe(seen, F.count("*").alias("results"), F.count("transcript").alias("transcripts"), F.coalesce(F.sum(text), F.lit(0)).alias("chars"))
+    counted.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/data/run={stamp}")
+    put_text(spark, f"{path}/committed/{stamp}.json", json.dumps({"stamp": stamp, **seen.get}))
+    return seen.get
+
+
+def committed_runs(spark: SparkSession, path: str) -> list[str]:
+    """The stamps of all committed runs, in order: one name for each run."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/committed")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listStatus(place) if files.exists(place) else []
+    return sorted(f.getPath().getName().removesuffix(".json") for f in found if f.getPath().getName().endswith(".json"))
+
+
+def published(spark: SparkSession, path: str, schema: StructType, stamp: str | None = None) -> DataFrame:
+    """The results of a committed run, the last one by its stamp unless one is named."""
+    runs = committed_runs(spark, path)
+    if not runs or stamp and stamp not in runs:
+        raise ValueError(f"no committed run {stamp or ''}".rstrip())
+    return spark.read.schema(schema).json(f"{path}/data/run={stamp or runs[-1]}")
+
+
+def listed(results: DataFrame) -> DataFrame:
+    """(request_id, rel_path) of the files that each result consists of, as a listing of its folder would give them."""
+    names = F.array_compact(F.array(F.lit("result.json"), F.when(F.col("transcript").isNotNull(), "transcript.txt")))
+    return results.select("request_id", F.explode(names).alias("rel_path"))
+
+
 def write_results(results: DataFrame, path: str) -> None:
     """Results as JSON and transcripts as text, both partitioned by request; a request's former files are replaced."""
     results.drop("transcript").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("request_id").option("ignoreNullFields", "false").json(f"{path}/results")
