@@ -7,6 +7,8 @@ the number of terms, and no text is paired with a term that it doesn't hold.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
@@ -22,13 +24,16 @@ _BUILT: dict = {}
 
 
 def _automaton(shard: Broadcast):
-    """The worker's automaton of a shard, kept until another one is asked for."""
+    """The worker's automaton of a shard, kept until another one is asked for. Its values are the numbers of the terms that a folded one stands for."""
     import ahocorasick
 
     if _BUILT.get("shard") is not shard:
+        folded: dict[str, list[int]] = {}
+        for number, (_, key) in enumerate(shard.value):
+            folded.setdefault(key, []).append(number)
         built = ahocorasick.Automaton()
-        for number, term in enumerate(shard.value):
-            built.add_word(term, number)
+        for key, numbers in folded.items():
+            built.add_word(key, tuple(numbers))
         built.make_automaton()
         _BUILT.update(shard=shard, automaton=built)
     return _BUILT["automaton"]
@@ -36,27 +41,26 @@ def _automaton(shard: Broadcast):
 
 def _search(shard: Broadcast):
     def run(batches):
-        found = _automaton(shard)
-        terms = pa.array(shard.value, pa.string())
+        automaton = _automaton(shard)
+        terms = pa.array([term for term, _ in shard.value], pa.string())
         for batch in batches:
-            texts, at, hits = batch.column(batch.num_columns - 1), [], []
+            keys = batch.num_columns - 1
 
-            def rows(at=at, hits=hits, batch=batch):
-                keys = [batch.column(k).take(pa.array(at, pa.int64())) for k in range(batch.num_columns - 1)]
-                out = pa.RecordBatch.from_arrays([*keys, terms.take(pa.array(hits, pa.int64()))], [*batch.schema.names[:-1], "folded"])
-                at.clear()
-                hits.clear()
-                return out
+            def rows(at, hits, batch=batch, keys=keys):
+                taken = pa.array(at, pa.int64())
+                return pa.RecordBatch.from_arrays([*(batch.column(k).take(taken) for k in range(keys)), terms.take(pa.array(hits, pa.int64()))], [*batch.schema.names[:-1], "_text"])
 
-            for k, text in enumerate(texts.to_pylist()):
+            at, hits = [], []
+            for k, text in enumerate(batch.column(keys).to_pylist()):
                 if text:
-                    own = {number for _, number in found.iter(text)}
+                    own = {number for _, numbers in automaton.iter(text) for number in numbers}
                     at += [k] * len(own)
                     hits += own
                     if len(at) >= _ROWS:
-                        yield rows()
+                        yield rows(at, hits)
+                        at, hits = [], []
             if at:
-                yield rows()
+                yield rows(at, hits)
 
     return run
 
@@ -66,26 +70,25 @@ def scan_terms(texts: DataFrame, terms: DataFrame, text_col: str = "text", term_
 
     With `any_case` both are case-folded in full before they are compared, and terms that fold alike are all given.
     Null texts hold nothing, null terms are left out, the empty term is in every text that isn't null. Repeated rows are
-    searched each by itself. Terms beyond `shard_bytes` take one pass over the texts for each such amount.
+    searched each by itself. An own column `term` of the texts is left out. Terms beyond `shard_bytes` take one
+    pass over the texts for each such amount; a shard goes through the driver, and the next one after it.
     """
     spark = texts.sparkSession
     ship(spark)
     same = fold if any_case else (lambda x: x)
-    keys = [c for c in texts.columns if c != text_col]
+    names = [c for c in texts.columns if c not in (text_col, "term")]
+    searched = texts.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(names)], same(F.col(text_col).cast("string")).alias("_text"))
+    given = lambda frame, term: frame.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(names)], term.alias("term"))
     named = terms.select(F.col(term_col).cast("string").alias("term")).where("term is not null").distinct().select("term", same(F.col("term")).alias("folded"))
-    size = named.agg(F.sum(F.octet_length("term") + 1)).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
-    searched = texts.select(*keys, same(F.col(text_col).cast("string")).alias("_text"))
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in searched.dtypes[:-1]), "folded string"])
-    out = None
+    size = named.agg(F.sum(F.octet_length("term") + F.octet_length("folded"))).first()[0] or 0
+    shards = max(1, -(-size // (2 * shard_bytes)))
+    schema = ", ".join(f"`{c}` {t}" for c, t in searched.dtypes)
+    parts = []
     for number in range(shards):
-        own = named.where((F.pmod(F.xxhash64("folded"), F.lit(shards)) == number) & (F.col("folded") != ""))
-        words = sorted(r.folded for r in own.select("folded").distinct().collect())
-        if words:
-            hits = searched.mapInArrow(_search(spark.sparkContext.broadcast(words)), schema)
-            found = hits.join(F.broadcast(own), "folded").select(*keys, "term")  # a shard's terms are bounded by its bytes
-            out = found if out is None else out.unionByName(found)
+        own = named.where((F.pmod(F.xxhash64("folded"), F.lit(shards)) == number) & (F.col("folded") != "")).collect()
+        if own:
+            shard = spark.sparkContext.broadcast(sorted(map(tuple, own)))
+            parts.append(given(searched.mapInArrow(_search(shard), schema), F.col("_text")))
     if named.where("folded = ''").take(1):
-        everywhere = searched.where("_text is not null").select(*keys, F.lit("").alias("term"))
-        out = everywhere if out is None else out.unionByName(everywhere)
-    return texts.select(*keys, F.lit("").alias("term")).limit(0) if out is None else out
+        parts.append(given(searched.where("_text is not null"), F.lit("")))
+    return reduce(DataFrame.unionByName, parts) if parts else given(searched.limit(0), F.lit(""))
