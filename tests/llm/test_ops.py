@@ -115,6 +115,13 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_passages_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 1 << 16)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(frame(spark, [(d + 10**6, t) for d, t in DOCS]))
+    found = [sorted(map(tuple, substring_dedup.repeated_passages(docs.repartition(n)).collect())) for n in (4, 16, 64)]
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_cut_passages(spark):
     passage = " ".join(words(60))
     rows = [(1, "Start\n" + passage + "\nend"), (2, "Ä first, " + passage + " , last"), (3, passage), (4, None), (None, passage)]
