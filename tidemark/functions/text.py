@@ -14,17 +14,19 @@ from .entities import decode_entities
 from .folding import fold
 
 WS = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: The same characters one by one.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 NOT_WORD = r"[^\p{L}\p{N}_]+"
 NOT_IN_WORDS = r"[^\p{L}\p{N}_ ]+"
 #: Markers of a refused access.
 ACCESS_MARKERS = ("sign in to confirm", "confirm you're not a bot", "confirm you are not a bot", "http error 403", "http error 429", "too many requests")
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, rf"\A{WS}+", ""), rf"{WS}+\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"{WS}+\z", "")
+    return F.rtrim(text, F.lit(BLANKS))
 
 
 def without_tags(text: Column) -> Column:
@@ -55,9 +57,8 @@ def token_keys(line: Column) -> Column:
 
     One pass over the line, not one for each token; what parts the tokens stays.
     """
-    spaced = F.trim(F.regexp_replace(line, f"{WS}+", " "))
     keys = lambda x: F.split(let(F.regexp_replace(x, NOT_IN_WORDS, ""), fold), " ", -1)
-    return let(spaced, lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(keys(x)))
+    return let(F.trim(F.regexp_replace(line, f"{WS}+", " ")), lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(keys(x)))
 
 
 def classify_failure(message: Column) -> Column:

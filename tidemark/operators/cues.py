@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.binding import let
+from ..functions.binding import exploded, let
 from ..functions.folding import fold
 from ..functions.text import WS, clean_caption_text, normalized_transcript, sha256_text, strip, token_keys, tokens
 from ..session import scratch
@@ -101,30 +101,36 @@ def without_overlap(frame: DataFrame, cues_col: str = "cues") -> DataFrame:
 _PREPARED = "struct<text:string,fold:string,keys:array<string>>"
 
 
-def overlap_by_chunks(lines: DataFrame, by: str, order: str, text: str) -> DataFrame:
+def overlap_by_chunks(lines: DataFrame, by: str, order: str, text: str, size: int = 256) -> DataFrame:
     """`lines` with a column `residual`: the same on one row for each cue, for sequences of any length.
 
-    The cues are dealt by range of sequence and order, so that a long sequence lies in many partitions. Inside a
-    partition the cue before is the row before; the last cue of each partition, one row for each, is carried over to the
-    next one that isn't empty. `order` differs within a sequence. Null texts count as empty; emptied cues go.
+    The cues are dealt by range of sequence and order, so that a long sequence lies in many partitions, and taken in chunks
+    of `size` neighbours. The last cue of each chunk is carried over to the next one, and inside a chunk it goes as in
+    `without_overlap`. `order` differs within a sequence. Null texts count as empty; emptied cues go.
     """
     spark = lines.sparkSession
     key = [F.col(by).asc_nulls_first(), F.col(order).asc_nulls_first()]
-    dealt = lines.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("_at", F.monotonically_increasing_id())
+    at = F.monotonically_increasing_id()  # the partition, and the place in it
+    dealt = lines.repartitionByRange(*key).sortWithinPartitions(*key).withColumn("_at", at)
     place = scratch(spark, "cue-chunks")
-    dealt.withColumn("_chunk", F.shiftrightunsigned("_at", 33)).write.parquet(place)
+    dealt.withColumn("_chunk", F.floor(F.col("_at") / size)).write.parquet(place)
     rows = spark.read.parquet(place)
-    said = F.struct(F.col(by).alias("by"), F.coalesce(text, F.lit("")).alias("text"))
-    before = F.lag(said).over(Window.partitionBy("_chunk").orderBy("_at"))
-    last = rows.groupBy("_chunk").agg(F.max_by(said, "_at").alias("carried"))
-    chunks = sorted(r[0] for r in last.select("_chunk").collect())  # partition numbers
-    steps = spark.createDataFrame(list(zip(chunks, chunks[1:], strict=False)), "_chunk long, next long")
-    carried = last.join(F.broadcast(steps), "_chunk").select(F.col("next").alias("_chunk"), "carried")
-    out = rows.withColumn("_before", before).join(F.broadcast(carried), "_chunk", "left")
-    out = out.withColumn("_before", F.coalesce("_before", "carried"))
-    previous = F.when(F.col("_before.by").eqNullSafe(F.col(by)), F.col("_before.text"))
-    left = let(prepared(previous), lambda p: let(prepared(F.coalesce(text, F.lit(""))), lambda now: residual(F.when(p["text"].isNotNull(), p), now)))
-    return out.withColumn("residual", left).where("residual <> ''").drop("_at", "_chunk", "_before", "carried")
+    own = F.struct(*[F.col(c) for c in lines.columns])
+    cue = F.struct(F.col("_at").alias("at"), F.col(by).alias("by"), F.coalesce(text, F.lit("")).alias("text"), own.alias("own"))
+    chunks = rows.groupBy("_chunk").agg(F.array_sort(F.collect_list(cue)).alias("cues"))
+    # inside a partition the next chunk has the next number; a partition's last one goes on with the first of the next partition that has any
+    parts = rows.groupBy(F.shiftrightunsigned("_at", 33).alias("part")).agg(F.max("_chunk").alias("last"), F.min("_chunk").alias("first"))
+    ends = sorted((r.part, r.last, r.first) for r in parts.collect())  # one row for each partition
+    steps = spark.createDataFrame([(a[1], b[2]) for a, b in zip(ends, ends[1:], strict=False)], "_chunk long, next long")
+    last = rows.groupBy("_chunk").agg(F.max_by(F.struct(F.col(by).alias("by"), F.coalesce(text, F.lit("")).alias("text")), "_at").alias("carried"))
+    carried = last.join(F.broadcast(steps), "_chunk", "left").select(F.coalesce("next", F.col("_chunk") + 1).alias("_chunk"), "carried")
+    both = chunks.join(carried, "_chunk", "left")
+    ready = lambda c: F.struct(c["by"].alias("by"), prepared(c["text"]).alias("now"))
+    both = both.withColumn("_now", F.transform("cues", ready)).withColumn("_first", F.when(F.col("carried").isNotNull(), ready(F.col("carried"))))
+    before = F.concat(F.array("_first"), F.slice("_now", F.lit(1), F.size("_now") - 1))
+    left = F.zip_with(before, F.col("_now"), lambda p, c: residual(F.when(p["by"].eqNullSafe(c["by"]), p["now"]), c["now"]))
+    found = both.select(F.zip_with("cues", left, lambda c, r: F.struct(c["own"].alias("own"), r.alias("residual"))).alias("_found"))
+    return exploded(found, "_found", "f").where("f.residual <> ''").select("f.own.*", "f.residual")
 
 
 def transcripts(frame: DataFrame, segments_col: str = "segments") -> DataFrame:
