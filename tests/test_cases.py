@@ -114,3 +114,15 @@ def test_queue_of_files_goes_on_where_it_ended(spark, tmp_path):
     assert rows["req-1.json"].url == "https://www.youtube.com/watch?v=abcDEF123_-" and rows["req-1.json"].message is None
     assert rows["file13.json"].message == "file name must equal request_id"
     assert sum(r.message is None for r in rows.values()) == 3
+
+
+def test_small_files_are_read_many_to_a_task(spark, tmp_path):
+    for k in range(300):
+        (tmp_path / f"{k}.{'vtt' if k % 2 else 'srt'}").write_text(f"00:00:01.000 --> 00:00:02.000\nfile {k}\n")
+    (tmp_path / "other.json").write_text("{}")
+    files = sources.read_subtitles(spark, f"file://{tmp_path}")
+    assert files.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    found = cues.transcripts(cues.without_overlap(cues.parse_cues(files)))
+    assert sorted(r.transcript for r in found.collect()) == sorted(f"file {k}\n" for k in range(300))
+    assert sources.read_binary(spark, f"file://{tmp_path}", "*.vtt", task_bytes=50).rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    assert sources.read_binary(spark, f"file://{tmp_path}", "*.none").count() == 0

@@ -16,7 +16,7 @@ from ..session import scratch, spread
 from ..sources import files as sources
 from ..streaming.queue import drain, request_stream, resolve_stream
 from . import fixtures as fx
-from .queries import DOCUMENT_LINES, OVERLAP, URL_PARTS, _clean_sql, _rank_sql, query, table
+from .queries import DOCUMENT_LINES, OVERLAP, URL_PARTS, _clean_sql, _rank_sql, _strip_sql, query, table
 
 
 def turn(cases: list, number: Column, kind: str = "string") -> Column:
@@ -188,15 +188,38 @@ lines AS (SELECT id, j, line, row_number() OVER (PARTITION BY id ORDER BY j) - 1
 
 @query(f"""WITH {_FILES} SELECT id AS doc_id, (row_number() OVER (PARTITION BY id ORDER BY i) - 1)::INTEGER AS pos, {_TIME} || '000' AS start, {_TIME} || '500' AS "end", residual AS text FROM kept JOIN lines USING (id, i) WHERE residual <> ''""")
 def subtitle_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = subtitle_files(spark, sf_dir).select("doc_id", cues.decode_file(F.encode("raw", "UTF-8")).alias("raw"))
+    found = cues.without_overlap(cues.parse_cues(files))
+    return found.select("doc_id", F.posexplode("segments").alias("pos", "s")).select("doc_id", "pos", "s.start", "s.end", "s.text")
+
+
+def subtitle_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), t.strip), lambda x: x != "")
     two = lambda x: F.lpad(x.cast("string"), 2, "0")
     vtt = F.col("doc_id") % 2 == 0
     at = lambda i, ms: F.concat(F.lit("00:"), two((i / 60).cast("int") % 60), F.lit(":"), two(i % 60), F.when(vtt, ".").otherwise(","), F.lit(ms))
     blocks = F.transform(lines, lambda x, i: F.concat(F.when(vtt, "").otherwise(F.concat((i + 1).cast("string"), F.lit("\r\n"))), at(i, "000"), F.lit(" --> "), at(i, "500"), F.when(vtt, " align:start\n").otherwise("\r\n"), x))
-    raw = F.when(vtt, F.concat(F.lit("﻿WEBVTT\nKind: captions\n\nNOTE made\n\n"), F.array_join(blocks, "\n\n"))).otherwise(F.array_join(blocks, "\r\n\r\n"))
-    found = cues.without_overlap(cues.parse_cues(docs.select("doc_id", cues.decode_file(F.encode(raw, "UTF-8")).alias("raw"))))
-    return found.select("doc_id", F.posexplode("segments").alias("pos", "s")).select("doc_id", "pos", "s.start", "s.end", "s.text")
+    raw = F.when(vtt, F.concat(F.lit("\ufeffWEBVTT\nKind: captions\n\nNOTE made\n\n"), F.array_join(blocks, "\n\n"))).otherwise(F.array_join(blocks, "\r\n\r\n"))
+    return docs.select("doc_id", raw.alias("raw"))
+
+
+_TALK = f"""turns AS (SELECT conv_id AS id, turn, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: {_strip_sql('x')}), lambda x: x <> ''), ' ') AS said FROM conversations),
+cleaned AS (SELECT id, turn, {_clean_sql('said')} AS line FROM turns), lines AS (SELECT id, line, row_number() OVER (PARTITION BY id ORDER BY turn) - 1 AS i FROM cleaned WHERE line <> ''), {OVERLAP},
+n AS (SELECT id, string_agg(residual, chr(10) ORDER BY i) AS body, count(*) AS n FROM kept WHERE residual <> '' GROUP BY id)"""
+
+
+@query(f"WITH {_TALK}, s AS (SELECT id, n, {_strip_sql('body')} || chr(10) AS body FROM n) SELECT conv_id, sha256(body) AS transcript_sha256, coalesce(n, 0)::BIGINT AS cue_count FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN s ON id = conv_id")
+def caption_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subtitle files, one for each conversation with a cue for each turn, written and read back many to a task."""
+    to = scratch(spark, "captions")
+    said = F.array_join(F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), t.strip), lambda x: x != ""), " ")
+    cue = F.concat(F.lit("00:00:01.000 --> 00:00:02.000\n"), said)
+    talks = table(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", cue.alias("cue")).alias("c")).groupBy("conv_id").agg(F.array_sort(F.collect_list("c")).alias("c"))
+    raw = F.concat(F.lit("WEBVTT\n\n"), F.array_join(F.transform("c", lambda c: c["cue"]), "\n\n"))
+    talks.select(raw.alias("raw"), "conv_id").write.partitionBy("conv_id").text(to)
+    found = cues.transcripts(cues.without_overlap(cues.parse_cues(sources.read_subtitles(spark, to, "*.txt"))))
+    return found.select(F.regexp_extract("path", "conv_id=([0-9-]+)", 1).cast("long").alias("conv_id"), "transcript_sha256", "cue_count")
 
 
 # Results of every document: those of a case, with the digest and the length of the document's own transcript.

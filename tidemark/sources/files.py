@@ -16,15 +16,23 @@ def read_json_files(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), "value")
 
 
-def read_binary(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """One row (path, content) for each file below a folder."""
+#: Bytes of files that one task reads, if there are so many.
+TASK_BYTES = 128 << 20
+
+
+def read_binary(spark: SparkSession, path: str, pattern: str | None = None, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """One row (path, content) for each file below a folder. Small files are read many to a task: as many tasks as the files' bytes
+    need, and one for each core at least. Names and sizes are listed first; no content is read for that."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path).select("path", "content")
+    files = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
+    size = files.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // task_bytes))
+    return files.select("path", "content").coalesce(tasks)
 
 
-def read_subtitles(spark: SparkSession, path: str) -> DataFrame:
+def read_subtitles(spark: SparkSession, path: str, pattern: str = "*.{vtt,srt}") -> DataFrame:
     """One row (path, raw) for each vtt and srt file, decoded."""
-    return read_binary(spark, path, "*.{vtt,srt}").select("path", decode_file(F.col("content")).alias("raw"))
+    return read_binary(spark, path, pattern).select("path", decode_file(F.col("content")).alias("raw"))
 
 
 def relative(path: Column, root: str) -> Column:
