@@ -226,6 +226,63 @@ def test_passages_of_many_lengths(spark):
     assert left <= 0.003 * sum(map(len, expected.values()))  # see the README: ends of a few words
 
 
+def test_a_partner_that_stars_drop_is_found(spark):
+    """Near copies under a key of many: each is paired with a document that is like it, not with the earliest ones of the key only."""
+    r = np.random.default_rng(11)
+    for _ in range(40):
+        ranges, n = [], int(r.integers(3, 30))
+        base = np.unique(r.integers(0, 1 << 32, 70, dtype=np.uint32))
+        for _ in range(n):
+            own = base.copy() if r.random() < 0.6 or not ranges else ranges[int(r.integers(len(ranges)))].copy()
+            own = own[r.random(len(own)) < r.choice([0.6, 0.9, 1])]
+            ranges.append(np.unique(np.concatenate([own, r.integers(0, 1 << 32, int(r.integers(0, 15)), dtype=np.uint32)])))
+        doc = np.arange(n) * 3
+        a, b, *_ = substring_dedup.shared_sets(doc, ranges)
+        sets = [set(x.tolist()) for x in ranges]
+        linked = {}
+        for x, y in zip((a // 3).tolist(), (b // 3).tolist(), strict=True):
+            assert y < x and len(sets[x] & sets[y]) >= substring_dedup.LOOSE
+            linked.setdefault(x, []).append(sets[x] & sets[y])
+        for x in range(n):
+            for y in range(x):
+                if len(sets[x] & sets[y]) >= substring_dedup.LOOSE:
+                    assert any(sets[x] & sets[y] <= own for own in linked.get(x, [])), (x, y)
+
+
+def test_all_near_partners_of_crowded_keys_are_paired(spark, monkeypatch):
+    """Every two documents with a common key, and windows of it that are alike, are linked or like a document that is; so in cells of any size."""
+    r = random.Random(8)
+    base = [f"q{k}" for k in range(60)]
+    rows = []
+    for d in range(150):
+        own = list(base)
+        for p in r.sample(range(60), r.choice([0, 3, 6, 9])):
+            own[p] = f"e{p}x{r.randrange(3)}"
+        rows.append((d, " ".join([f"c{d}x{k}" for k in range(20)] + own + [f"d{d}x{k}" for k in range(20)])))
+    entries = []
+    for d, text in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        hashes, ends = kernel.shingle_hashes(*kernel.word_hashes(data, np.array([0, len(data)])), 5)
+        _, key, marks, start, last = substring_dedup.joint_windows(hashes, ends)
+        assert (last - start < substring_dedup.SPAN).all()
+        entries += [(k, d, frozenset(hashes[s : e + substring_dedup.SPAN].tolist())) for k, s, e in zip(key.tolist(), start.tolist(), last.tolist(), strict=True)]
+    by_key = {}
+    for k, d, own in entries:
+        by_key.setdefault(k, []).append((d, own))
+    for cell in (substring_dedup.CELL, 10):
+        monkeypatch.setattr(substring_dedup, "CELL", cell)
+        pairs = {(x.a, x.b) for x in substring_dedup.candidates(frame(spark, rows)).collect()}
+        missed = total = 0
+        for group in by_key.values():
+            for d, own in group:
+                linked = [own & other for e, other in group if (d, e) in pairs]
+                for e, other in group:
+                    if e < d and len(own & other) >= substring_dedup.LOOSE:
+                        total += 1
+                        missed += not any(own & other <= x for x in linked)
+        assert total > 1000 and not missed
+
+
 def crc(doc):
     return zlib.crc32(str(doc).encode())
 

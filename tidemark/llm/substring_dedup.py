@@ -14,6 +14,13 @@ first does so within a block of documents and sends on the earliest only, so tha
 of documents stays small; which of several earlier documents is named depends on that. Blocks are
 dealt by the id's hash and their number follows the text's bytes, so the rows are the same however
 the table is partitioned.
+
+Entries with the same key, first and last window hold the same words: they are a class, paired with its
+earliest document. Stars leave nothing out for keys of one or two classes. For all other keys the
+shingles of each class meet, and a class is paired with the earliest document for every set of its
+shingles that an earlier class shares and that is part of no larger such set. Shingles that no other class of the
+key has match nothing and are left out first, so that classes which differ in them alone are one. A key of many
+classes is divided into cells, in which every two of its classes meet.
 The pairs are verified on the whole texts: a passage is a run of words of the later document whose
 shingles have a similarity of 0.75 or more with those of a run of the earlier one.
 """
@@ -28,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .common import parallel, spill
+from .common import discard, parallel, spill
 from .kernel import SPACED, lean, lean_group, mix, row_blocks, rows_of, seeds, shingle_hashes, text_buffer, word_bounds, word_hashes
 
 _U = np.uint64
@@ -39,6 +46,8 @@ PAIRS = tuple(combinations(range(HASHES), 2))
 MARKS = 3
 #: How many of the nearest earlier documents an entry is paired with whose windows no earlier document shares.
 NEAREST = 1
+#: Classes of one key in a part of it; two parts meet in a cell.
+CELL = 2048
 #: Bytes of text for one bucket of keys, and for one block of documents.
 BUCKET_BYTES, BLOCK_BYTES = 1 << 24, 1 << 25
 #: Blocks of a small table. Each names its own earliest documents, so that some more pairs are found than in one.
@@ -95,8 +104,14 @@ def compact_windows(values: np.ndarray, rows: np.ndarray, span: int = SPAN) -> t
 
 
 def joint_keys(shingles: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, key and marks of every joint window, see `joint_windows`."""
+    return joint_windows(shingles, rows)[:3]
+
+
+def joint_windows(shingles: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row, key and marks of every joint window: a third function's minimum, and hashes of the first and of
-    the last window of SPAN shingles in it (by the shingles at their ends). Marks have 32 bits each."""
+    the last window of SPAN shingles in it (by the shingles at their ends); then where these two begin.
+    Marks have 32 bits each. All windows hold the minimum, so the first and the last cover the joint window."""
     found = []
     for seed in _SEEDS:
         values = mix(shingles ^ seed)
@@ -105,8 +120,8 @@ def joint_keys(shingles: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.n
         order = np.argsort(start, kind="stable")
         found.append((start[order], values[centre][order]))
     if not len(found[0][0]):
-        return np.zeros(0, np.int64), np.zeros(0, _U), np.zeros((0, MARKS), np.uint32)
-    row, key, marks = [], [], []
+        return np.zeros(0, np.int64), np.zeros(0, _U), np.zeros((0, MARKS), np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    row, key, marks, begin, end = [], [], [], [], []
     for i, j in PAIRS:
         start = np.union1d(found[i][0], found[j][0])
         own = np.searchsorted(rows, start, "right") - 1
@@ -115,14 +130,16 @@ def joint_keys(shingles: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.n
         row.append(own)
         key.append(mix(a + mix(b ^ _SEEDS[i] ^ (_SEEDS[j] << _U(1)))))
         marks.append(np.stack([c >> _U(32), *(mix(shingles[at] + mix(shingles[at + SPAN - 1])) >> _U(32) for at in (start, last))], axis=1).astype(np.uint32))
-    return np.concatenate(row), np.concatenate(key), np.concatenate(marks)
+        begin.append(start)
+        end.append(last)
+    return np.concatenate(row), np.concatenate(key), np.concatenate(marks), np.concatenate(begin), np.concatenate(end)
 
 
 def star_pairs(key: np.ndarray, doc: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs (later document, earlier one) of entries with the same key, and which entries are
     the earliest of a group with a mark.
 
-    The earlier one is the earliest by key alone, and by key with each mark. An entry that shares
+    The earlier one is the earliest by key alone, by key with each mark, and of the entry's class. An entry that shares
     neither its first nor its last window with an earlier document is paired with the nearest
     earlier ones of its key and third minimum too: the earliest may have another passage there.
     """
@@ -137,6 +154,7 @@ def star_pairs(key: np.ndarray, doc: np.ndarray, marks: np.ndarray) -> tuple[np.
 
 
 def _star_pairs(key: np.ndarray, doc: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    marks = np.column_stack([marks.astype(_U), _class(marks)])
     a, b, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(len(doc), bool)
     alone = np.ones(len(doc), bool)
 
@@ -157,7 +175,7 @@ def _star_pairs(key: np.ndarray, doc: np.ndarray, marks: np.ndarray) -> tuple[np
         add(order, least)
         if k == 0:
             by_third, group = order, np.cumsum(new)
-        elif k > 0:
+        elif 0 < k < MARKS:
             alone[order[doc[least] != doc[order]]] = False
     for step in range(1, NEAREST + 1 if len(doc) else 0):
         use = (group[step:] == group[:-step]) & alone[by_third[step:]]
@@ -166,6 +184,22 @@ def _star_pairs(key: np.ndarray, doc: np.ndarray, marks: np.ndarray) -> tuple[np
     return *_distinct(a[a != b], b[a != b]), np.flatnonzero(first)
 
 
+def _class(marks: np.ndarray) -> np.ndarray:
+    """The same for entries of a key with the same first and last window, which hold the same words."""
+    return marks[:, 1].astype(_U) << _U(32) | marks[:, 2].astype(_U)
+
+
+def open_classes(key: np.ndarray, doc: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The earliest entry of each class, where a key has three or more: of fewer, stars pair every two."""
+    own = _class(marks)
+    order = np.lexsort((doc, own, key))
+    new = np.ones(len(order), bool)
+    new[1:] = (key[order][1:] != key[order][:-1]) | (own[order][1:] != own[order][:-1])
+    order = order[new]
+    _, back, count = np.unique(key[order], return_inverse=True, return_counts=True)
+    return order[count[back] > 2]
+
+
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each pair once, in ascending order."""
     order = np.lexsort((b, a))
@@ -229,7 +263,94 @@ def _meet(group: pa.Table) -> pa.Table:
     key, doc, marks, a, b = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(name)]) for name, kind in (("keys", _U), ("docs", np.int64), ("marks", np.uint32), ("a", np.int64), ("b", np.int64)))
     x, y, _ = star_pairs(key, doc, marks.reshape(-1, MARKS))
     a, b = _distinct(np.concatenate([a, x]), np.concatenate([b, y]))
-    return pa.table([pa.array(a), pa.array(b)], ["a", "b"])
+    rest = open_classes(key, doc, marks.reshape(-1, MARKS))
+    n, m = len(a), len(rest)
+    return pa.table([pa.array(np.concatenate([a, doc[rest]])), pa.concat_arrays([pa.array(b), pa.nulls(m, pa.int64())]), pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(key[rest].view(np.int64))])], ["a", "b", "key"])
+
+
+def _ranges(batches):
+    """Batches of doc_id, text and keys: the shingles (32 bits of each, once, in ascending order) of the joint windows with these keys."""
+    for batch in batches:
+        docs, wanted = batch.column(0).to_numpy(), batch.column(2)
+        data, offsets = text_buffer(batch.column(1))
+        ends, values = wanted.offsets.to_numpy(), wanted.values.to_numpy().view(_U)
+        for i, j in row_blocks(offsets):
+            words, rows = word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            shingles, rows = shingle_hashes(words, rows, WIDTH)
+            row, key, _, start, last = joint_windows(shingles, rows)
+            of = np.repeat(np.arange(j - i), np.diff(ends[i : j + 1]))
+            pair = lambda key, row: mix(key ^ mix(row.astype(_U)))
+            use = np.flatnonzero(np.isin(pair(key, row), pair(values[ends[i] : ends[j]], of)))
+            short = (shingles >> _U(32)).astype(np.uint32)
+            own = [np.unique(short[s:e]).tobytes() for s, e in zip(start[use].tolist(), (last[use] + SPAN).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(key[use].view(np.int64)), pa.array(docs[i:j][row[use]]), pa.array(own, pa.binary())], ["key", "doc", "shingles"])
+
+
+def shared_sets(doc: np.ndarray, ranges: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(later document, earlier one, and which of the later one's shingles they share, as two numbers of SPAN bits), from
+    sets of shingles of one key in ascending order of documents. Of an entry, each shared set that is in no larger one comes once, with the earliest document."""
+    n = len(doc)
+    size = np.array([len(x) for x in ranges])
+    owner, place = np.repeat(np.arange(n), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    _, value, count = np.unique(np.concatenate(ranges), return_inverse=True, return_counts=True)
+    shared = count[value] > 1
+    owner, place, value = owner[shared], place[shared], value[shared]
+    bits = [np.where(place < SPAN, 2.0 ** np.minimum(place, SPAN), 0.0), np.where(place < SPAN, 0.0, 2.0 ** np.maximum(place - SPAN, 0))]
+    held, own = np.bincount(owner, minlength=n), np.zeros(n, _U)
+    np.add.at(own, owner, mix(value.astype(_U) + _U(1)))
+    _, first, back = np.unique(own, return_index=True, return_inverse=True)
+    copies = np.flatnonzero((first[back] != np.arange(n)) & (held >= LOOSE) & (doc[first[back]] != doc))
+    a, b = [doc[copies]], [doc[first[back[copies]]]]
+    sets = [[np.bincount(owner, x, n)[copies]] for x in bits]
+    one = np.zeros(n, bool)
+    one[first] = True
+    use = one[owner]
+    owner, value, bits = owner[use], value[use], [x[use] for x in bits]
+    order = np.lexsort((owner, value))
+    by_value, holders = value[order], owner[order]
+    begin = np.searchsorted(owner, np.arange(n + 1))
+    for k in np.flatnonzero(one & (held >= LOOSE)).tolist():
+        s, e = begin[k], begin[k + 1]
+        low, high = np.searchsorted(by_value, value[s:e]), np.searchsorted(by_value, value[s:e], "right")
+        many = high - low
+        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - low, many)
+        other, which = holders[at], np.repeat(np.arange(s, e), many)
+        before = other < k
+        other, which = other[before], which[before]
+        common = np.bincount(other, minlength=1)
+        near = np.flatnonzero(common >= LOOSE)
+        near = near[doc[near] != doc[k]]
+        if not len(near):
+            continue
+        x, y = (np.bincount(other, c[which])[near] for c in bits)
+        _, once = np.unique(x + 1j * y, return_index=True)
+        once = once[np.argsort(-common[near[once]], kind="stable")]
+        x, y = x[once].astype(np.int64), y[once].astype(np.int64)
+        kept: list[int] = []
+        for i in range(len(once)):
+            if not (((x[i] & ~x[kept]) | (y[i] & ~y[kept])) == 0).any():
+                kept.append(i)
+        a.append(np.full(len(kept), doc[k]))
+        b.append(doc[near[once[kept]]])
+        sets[0].append(x[kept])
+        sets[1].append(y[kept])
+    return np.concatenate(a), np.concatenate(b), *(np.concatenate(x).astype(np.int64) for x in sets)
+
+
+_SETS = "a long, key long, x long, y long, b long"
+
+
+def _rest(group: pa.Table) -> pa.Table:
+    key, doc, own = (group.column(c) for c in ("key", "doc", "shingles"))
+    key, doc = key.to_numpy(), doc.to_numpy()
+    order = np.lexsort((doc, key))
+    cut = np.flatnonzero(np.diff(key[order], prepend=key[order[0]] - 1, append=key[order[-1]] - 1))
+    ranges = [np.frombuffer(x.as_buffer(), np.uint32) for x in own]
+    out = []
+    for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        a, b, x, y = shared_sets(doc[order[s:e]], [ranges[k] for k in order[s:e].tolist()])
+        out.append((a, np.full(len(a), key[order[s]]), x, y, b))
+    return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], [f.split()[0] for f in _SETS.split(", ")])
 
 
 def _similar(a: np.ndarray, b: np.ndarray, match: np.ndarray, where: np.ndarray, s: int, e: int, divide: bool) -> list[tuple[int, int, float]]:
@@ -317,7 +438,24 @@ def candidates(rows: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block")
     dealt = rows.select(block, "doc_id", "text").repartition(blocks, "block").sortWithinPartitions("block", "doc_id", F.xxhash64("text"))
     packs = dealt.mapInArrow(lean(_keys(buckets)), _PACKED)
-    return spill(packs.groupBy("bucket").applyInArrow(lean_group(_meet), "a long, b long").distinct(), "pairs")
+    met = spill(packs.groupBy("bucket").applyInArrow(lean_group(_meet), "a long, b long, key long"), "met")
+    pairs = spill(met.where("key is null").select("a", "b").union(_rest_pairs(rows, met.where("key is not null"), buckets)).distinct(), "pairs")
+    discard(met)
+    return pairs
+
+
+def _rest_pairs(rows: DataFrame, classes: DataFrame, buckets: int) -> DataFrame:
+    """The pairs that stars leave out, of the classes (a, key) of keys with three or more."""
+    wanted = classes.groupBy(F.col("a").alias("doc_id")).agg(F.collect_set("key").alias("keys"))
+    ranges = rows.join(wanted, "doc_id").select("doc_id", "text", "keys").mapInArrow(lean(_ranges), "key long, doc long, shingles binary")
+    crowded = classes.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CELL)  # one row for each CELL classes at most
+    parts = F.ceil(F.col("n") / CELL).cast("int")
+    own = F.pmod(F.xxhash64("doc"), parts).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), parts - 1), lambda other: F.xxhash64("key", F.least(own, other), F.greatest(own, other)))
+    plain = F.array(F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    dealt = ranges.join(F.broadcast(crowded), "key", "left").select("key", "doc", "shingles", F.explode(F.when(F.col("n").isNull(), plain).otherwise(cells)).alias("cell"))
+    found = dealt.groupBy("cell").applyInArrow(lean_group(_rest), _SETS)
+    return found.groupBy("a", "key", "x", "y").agg(F.min("b").alias("b")).select("a", "b")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
