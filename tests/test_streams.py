@@ -1,5 +1,7 @@
 """Streams of statuses, published runs and observed counts: restarts, repeats and failures."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -83,3 +85,13 @@ def test_rules_are_counted_by_the_pass_that_collects(spark):
     counts = seen.get
     assert counts.pop("results") == len(rows)
     assert counts == {rule: sum(rule in r.violations for r in rows) for rule in results.RULES} and sum(counts.values()) > 0
+
+
+@pytest.mark.parametrize("name, folder", [("queue_stream", "queue"), ("sarif_files", "reports"), ("caption_files", "captions")])
+def test_many_small_files_are_written_in_packs(spark, name, folder):
+    """Not a file for each request, report or conversation."""
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(base.glob(f"{folder}-*"))
+    rows = plans.QUERIES[name](spark, SF).count()
+    (made,) = set(base.glob(f"{folder}-*")) - before
+    assert len(list(made.rglob("part-*"))) <= 8 < rows

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.requests import validate_request
+from ..sources.files import PACKED
 
 
 def request_stream(spark: SparkSession, path: str, files_per_trigger: int = 100, named_by: str | None = None) -> DataFrame:
@@ -16,6 +17,12 @@ def request_stream(spark: SparkSession, path: str, files_per_trigger: int = 100,
     return stream.load(path).select(name.alias("file_name"), "value")
 
 
+def packed_stream(spark: SparkSession, path: str, packs_per_trigger: int = 100) -> DataFrame:
+    """The same stream from packs of queued files (see `write_packed`), each file with its own name."""
+    packs = spark.readStream.schema(PACKED).option("maxFilesPerTrigger", packs_per_trigger).parquet(path)
+    return packs.select(F.col("name").alias("file_name"), F.col("content").cast("string").alias("value"))
+
+
 def resolve_stream(stream: DataFrame) -> DataFrame:
     """(file_name, message, request_id, url, language); a file must be named after its request."""
     out = stream.withColumn("request", validate_request(F.col("value")))
