@@ -246,3 +246,18 @@ def test_tool_version(spark):
     rows = spark.createDataFrame([(0, " 2026.1 \n"), (1, "2026.1"), (0, "Deno 2.9 (x)\nv8 1"), (0, "")], "code int, out string")
     assert [r.a for r in rows.select(t.tool_version(F.col("code"), F.col("out")).alias("a")).collect()][:2] == ["2026.1", "unknown"]
     assert [r.a for r in rows.select(t.tool_version(F.col("code"), F.col("out"), "deno").alias("a")).collect()] == ["unknown", "unknown", "2.9", "unknown"]
+
+
+def test_keys_and_squeezing_of_odd_spaces(spark):
+    """Lines that the quick looks let pass, and such as they don't, have the keys and blanks of Python's own functions."""
+    import re
+    import unicodedata
+
+    odd = t.BLANKS + "\u200b"
+    texts = [f"Ab{c}Cd{c}{c}e-f,{c}ÉÜ ſs!" for c in odd] + ["  two  blanks ", "", " ", "Ümläut, ñandú; ß-Ω ж9", "́x ٠² _a", "-- !", "a < b\t\tc"]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, x string")
+    for r in rows.select("x", t.token_keys(F.col("x")).alias("keys")).collect():
+        assert r["keys"] == ["".join(c for c in w if c == "_" or unicodedata.category(c)[0] in "LN").casefold() for w in r["x"].split()], repr(r["x"])
+    for r in rows.select("x", t.squeeze(F.col("x")).alias("s")).collect():
+        plain = re.sub(r"[ \t]+", " ", r["x"].replace("\xa0", " ").replace("​", ""))
+        assert r["s"] == re.sub(r"\s*\n\s*", " ", plain).strip(), repr(r["x"])
