@@ -7,11 +7,12 @@ and one hidden layer give, on top of tables of what follows what, the chances of
 the classes within a group; an id's chance within its class is its share there, smoothed so that
 every id of the vocabulary has one. Chances add up to 1 over the vocabulary.
 
-What is gathered grows with the corpus: shares and tables count every id of every learnt text, and
-a word's chance is mostly that of its ids, and MIXED of it its share among the words of all learnt
-texts, whatever its count. Only the network's weights, and which ids are classes together, come
-from a sample, which grows more slowly (SAMPLE_DOCS). Besides, each text has the score of a plain
-unigram model over words, with counts from all.
+All that is learnt comes from all learnt texts: shares, classes and tables count every id, a word's
+chance is mostly that of its ids, and MIXED of it its share among the words of all learnt texts,
+whatever its count. The network's weights are trained on every window of every learnt text: texts
+are dealt into blocks by a hash, blocks learn side by side from the same weights, and the mean of
+their changes starts the next round. Besides, each text has the score of a plain unigram model over
+words, with counts from all.
 
 Words are counted and looked up in buckets as packed columns; only the most frequent ones, at most
 HEAVY, are sent to all tasks, so that no bucket meets a word that a large share of texts hold. Other
@@ -28,21 +29,25 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import sized, spill
-from .kernel import lean, lean_group, mix, row_blocks, seeds, text_buffer, tokenizer, tokenizer_key, with_end, word_hashes
+from .kernel import expand, lean, lean_group, mix, row_blocks, seeds, text_buffer, tokenizer, tokenizer_key, with_end, word_hashes
 
 _U = np.uint64
 CONTEXT, STRIDE = 8, 24
 WINDOW = CONTEXT + STRIDE
 WIDTH, HIDDEN = 16, 32
-#: Groups of MEMBERS classes each; the OWN most frequent ids of the sample are classes of their own.
+#: Groups of MEMBERS classes each; the OWN most frequent ids are classes of their own.
 GROUPS, MEMBERS = 32, 32
 CLASSES, OWN = GROUPS * MEMBERS, 960
 #: Ids whose places beside a rare id tell which rare ids are alike.
 NEIGHBOURS = 80
-#: Bounds of the network's sample: documents and training steps while at most SAMPLE_FROM documents are
-#: learnt from, both growing with the fourth root of their number beyond; and characters of each text.
-SAMPLE_DOCS, SAMPLE_FROM, SAMPLE_CHARS = 3000, 50_000, 4096
-STEPS, BATCH = 2500, 48
+#: Training steps at least, with windows used again where the texts have fewer; and windows of a step, more of them while the texts give STEPS steps.
+STEPS, BATCH, LARGE_BATCH = 2500, 48, 256
+#: Rounds of training, bytes of text for one block of them, and ids of a piece that stays together.
+ROUNDS, BLOCK_BYTES, TOGETHER = 6, 1 << 22, STRIDE << 12
+#: A piece inside a text begins with what its first window looks back at.
+LEAD = CONTEXT + 1
+#: Changes of weights are added up as whole numbers, so that their order doesn't matter.
+UNIT = 1 << 24
 HEAVY = 1 << 19
 #: How much of a word's chance comes from the words' counts.
 MIXED = 0.2
@@ -63,9 +68,23 @@ def _halves(features: np.ndarray, members: np.ndarray, least: int) -> list[np.nd
     return _halves(features, order[: len(order) // 2], least) + _halves(features, order[len(order) // 2 :], least)
 
 
+def _bins(places: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """Sums of whole numbers by place."""
+    total = np.zeros(size, np.int64)
+    np.add.at(total, places, n)
+    return total
+
+
+def _by_row(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the values' rows."""
+    width = values.shape[1]
+    flat = (rows.astype(np.int64) * width)[:, None] + np.arange(width)
+    return np.bincount(flat.ravel(), values.ravel(), size * width).reshape(size, width).astype(np.float32)
+
+
 class AttentionModel:
     """`vocabulary`: number of ids. `arrange` puts the ids into classes, `prepare` takes the counts of all
-    learnt texts, and `fit` trains the network."""
+    learnt texts, and `fit` trains the network; `score` does the same with sums over parts of the texts."""
 
     def __init__(self, vocabulary: int, seed: int = 2):
         self.vocabulary, self.seed = vocabulary, seed
@@ -73,40 +92,79 @@ class AttentionModel:
         self.largest: float | None = None
 
     def arrange(self, ids: np.ndarray) -> None:
-        """Classes and groups from a sample: who stands beside whom. Any arrangement gives chances that add up to 1."""
-        count = np.bincount(ids, minlength=self.vocabulary)
+        """Classes and groups: who stands beside whom. Any arrangement gives chances that add up to 1."""
+        pairs = np.unique(self.pairs(ids, np.array([0, len(ids)])), return_counts=True)
+        self.rank(self.counts(*pairs))
+        self.gather(self.around(*pairs))
+        self.group(self.beside(*pairs))
+
+    def pairs(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Each id with the one before it as one number; `vocabulary` stands before a text's first."""
+        before = np.full(len(ids), self.vocabulary, _U)
+        before[1:] = ids[:-1]
+        before[rows[:-1][np.diff(rows) > 0]] = self.vocabulary
+        return before * _U(self.vocabulary + 1) + ids.astype(_U)
+
+    def _split(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        before, after = np.divmod(pairs, _U(self.vocabulary + 1))
+        return before.astype(np.int64), after.astype(np.int64)
+
+    # `counts`, `around` and `beside` take distinct pairs and their counts; arrays of several parts of them add up.
+
+    def counts(self, pairs: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return _bins(self._split(pairs)[1], n, self.vocabulary)
+
+    def rank(self, count: np.ndarray) -> None:
+        self.count = count
         order = np.argsort(-count, kind="stable")
-        own = np.empty(self.vocabulary, np.int64)
-        own[order[:OWN]] = np.arange(len(order[:OWN]))
-        own[order[OWN:]] = OWN
-        rest = order[OWN:][count[order[OWN:]] > 0]
-        own[rest] = OWN + self._alike(ids, order[:NEIGHBOURS], rest)
-        beside = np.zeros((CLASSES, CLASSES), np.float32)
-        np.add.at(beside, (own[ids[:-1]], own[ids[1:]]), 1)
-        features = np.concatenate([np.sqrt(x / np.maximum(x.sum(1, keepdims=True), 1)) for x in (beside, beside.T)], axis=1)
-        place = np.empty(CLASSES, np.int64)
-        place[np.concatenate(_halves(features, np.arange(CLASSES), MEMBERS))] = np.arange(CLASSES)
-        self.target = place[own].astype(np.int16)  # group * MEMBERS + member
+        self.frequent, self.rest = order[:NEIGHBOURS], order[OWN:][count[order[OWN:]] > 0]
+        self.own = np.full(self.vocabulary, OWN)
+        self.own[order[:OWN]] = np.arange(len(order[:OWN]))
 
-    def _alike(self, ids: np.ndarray, frequent: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        """A class for each id of `rest`: spherical k-means of the frequent ids that stand around it."""
+    def around(self, pairs: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """How often each frequent id stands before and after each id that has no class of its own."""
         own = np.full(self.vocabulary, NEIGHBOURS)
-        own[frequent] = np.arange(len(frequent))
+        own[self.frequent] = np.arange(len(self.frequent))
         place = np.full(self.vocabulary, -1)
-        place[rest] = np.arange(len(rest))
-        seen = np.zeros((len(rest), 2 * (NEIGHBOURS + 1)), np.float32)
-        for here, there, side in ((ids[1:], ids[:-1], 0), (ids[:-1], ids[1:], NEIGHBOURS + 1)):
-            at = place[here]
-            np.add.at(seen, (at[at >= 0], own[there[at >= 0]] + side), 1)
+        place[self.rest] = np.arange(len(self.rest))
+        before, after = self._split(pairs)
+        inner, width = before < self.vocabulary, 2 * (NEIGHBOURS + 1)
+        total = np.zeros(len(self.rest) * width, np.int64)
+        for here, there, side in ((after, before, 0), (before, after, NEIGHBOURS + 1)):
+            use = np.flatnonzero(inner)
+            use = use[place[here[use]] >= 0]
+            total += _bins(place[here[use]] * width + own[there[use]] + side, n[use], len(total))
+        return total
+
+    def gather(self, around: np.ndarray) -> None:
+        """A class for each id that has none of its own: spherical k-means of the frequent ids that stand around it."""
+        if not len(self.rest):
+            return
+        seen = around.reshape(len(self.rest), -1)
         weight = seen.sum(1)
-        x = np.sqrt(seen / np.maximum(weight, 1)[:, None])  # rows of length sqrt(2) at most
+        x = np.sqrt(seen / np.maximum(weight, 1)[:, None]).astype(np.float32)  # rows of length sqrt(2) at most
         centre = x[np.argsort(-weight, kind="stable")[: CLASSES - OWN]].copy()
-        for _ in range(12 if len(rest) else 0):
+        for _ in range(12):
             group = np.argmax(x @ centre.T, axis=1)
             total = np.zeros_like(centre)
-            np.add.at(total, group, x * weight[:, None])
+            np.add.at(total, group, x * weight[:, None].astype(np.float32))
             centre = total / np.maximum(np.sqrt((total * total).sum(1, keepdims=True)), 1e-9)
-        return np.argmax(x @ centre.T, axis=1) if len(rest) else np.zeros(0, np.int64)
+        self.own[self.rest] = OWN + np.argmax(x @ centre.T, axis=1)
+
+    def beside(self, pairs: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """How often each class stands after each class, or first (row 0)."""
+        before, after = self._split(pairs)
+        return _bins(np.append(self.own + 1, 0)[before] * CLASSES + self.own[after], n, (CLASSES + 1) * CLASSES)
+
+    def group(self, beside: np.ndarray) -> np.ndarray:
+        """Groups of classes, and the tally for `prepare`."""
+        beside = beside.reshape(CLASSES + 1, CLASSES)
+        features = np.concatenate([np.sqrt(x / np.maximum(x.sum(1, keepdims=True), 1)) for x in (beside[1:], beside[1:].T)], axis=1).astype(np.float32)
+        members = np.concatenate(_halves(features, np.arange(CLASSES), MEMBERS))
+        place = np.empty(CLASSES, np.int64)
+        place[members] = np.arange(CLASSES)
+        self.target = place[self.own].astype(np.int16)  # group * MEMBERS + member
+        return np.concatenate([beside[np.append(0, members + 1)][:, members].ravel(), self.count])
 
     def inputs(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """What each id is predicted after: the class before it plus 1, or 0 at a text's start."""
@@ -141,40 +199,25 @@ class AttentionModel:
         self.p["pair"] = np.where(held.any(1), pair, -1e4).astype(np.float32)  # no id is in an empty group or class
         self.inner = np.where(held, inner, -1e4).astype(np.float32)
 
-    def windows(self, ids: np.ndarray, rows: np.ndarray):
-        """Inputs (windows x WINDOW, -1 before a text), and for each window the flat places it predicts (-1 past the end)."""
-        n = np.diff(rows)
+    def windows(self, ids: np.ndarray, rows: np.ndarray, lead: np.ndarray | int = 0):
+        """Inputs (windows x WINDOW, -1 before a text), and for each window the flat places it predicts (-1 past the end).
+
+        `lead`: ids at a row's beginning that are only looked back at, 0 where the text begins with the row.
+        """
+        lead = np.broadcast_to(lead, len(rows) - 1)
+        n, begins, rows = np.diff(rows) - lead, rows, rows[:-1] + lead
         count = -(-n // STRIDE)
         row = np.repeat(np.arange(len(n)), count)
         first = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
         at = first[:, None] + np.arange(-CONTEXT, STRIDE)
-        source = self.inputs(ids, rows)
+        source = self.inputs(ids, begins)
         flat = np.clip(rows[row][:, None] + at, 0, max(len(ids) - 1, 0))
-        x = np.where((at >= 0) & (at < n[row][:, None]), source[flat] if len(ids) else 0, np.where(at < 0, -1, 0))
+        x = np.where((at >= -lead[row][:, None]) & (at < n[row][:, None]), source[flat] if len(ids) else 0, np.where(at < 0, -1, 0))
         goal = np.where(at[:, CONTEXT:] < n[row][:, None], rows[row][:, None] + at[:, CONTEXT:], -1)
         return x, goal
 
     _AGO = CONTEXT + np.arange(STRIDE)[:, None] - np.arange(WINDOW)[None, :]
 
-    def forward(self, x: np.ndarray):
-        """The state from which each place's class is predicted, and what led to it."""
-        p = self.p
-        e = p["e"][np.maximum(x, 0)]
-        own = e[:, CONTEXT:]
-        k, v, q = e @ p["k"], e @ p["v"], own @ p["q"]
-        s = q @ k.transpose(0, 2, 1)
-        s *= WIDTH**-0.5
-        s += np.where(self._AGO >= 0, p["pos"][np.maximum(self._AGO, 0)], np.float32(-1e9))
-        if (x[:, 0] < 0).any():
-            s += np.where(x < 0, np.float32(-1e9), np.float32(0))[:, None, :]
-        if self.largest is None or self.largest > 60:
-            s -= s.max(-1, keepdims=True)
-        np.exp(s, out=s)
-        s /= s.sum(-1, keepdims=True)
-        h = own + s @ v
-        r = np.maximum(h @ p["w1"] + p["b1"], 0)
-        return h + r @ p["w2"], (e, own, k, v, q, s, h, r)
-
     def scores(self, state: np.ndarray, source: np.ndarray, group: np.ndarray):
         """Scores of all groups, and of the classes of the given group in ascending order of it: their order and each group's range."""
         z = state @ self.p["out"]
@@ -196,7 +239,7 @@ class AttentionModel:
         return near, own, np.where(self._AGO >= 0, p["pos"][np.maximum(self._AGO, 0)], np.float32(-1e9))
 
     def states(self, x: np.ndarray, tables: tuple[np.ndarray, ...]) -> np.ndarray:
-        """What `forward` gives, from the tables."""
+        """The state from which each place's class is predicted, from the tables."""
         p, (near, own, bias) = self.p, tables
         kv, qe = near[np.maximum(x, 0)], own[x[:, CONTEXT:]]
         s = qe[:, :, :WIDTH] @ kv[:, :, :WIDTH].transpose(0, 2, 1)
@@ -243,62 +286,118 @@ class AttentionModel:
             out[at[order]] += picked(y, target[order] % MEMBERS)
         return out + self.share[ids]
 
-    def fit(self, ids: np.ndarray, rows: np.ndarray, steps: int = STEPS) -> None:
-        """Adam on the cross-entropy of groups and of classes within the right group, over windows drawn at random."""
-        x, goal = self.windows(ids, rows)
-        r, p = np.random.default_rng(self.seed), self.p
-        m = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
+    def fit(self, ids: np.ndarray, rows: np.ndarray, steps: int) -> None:
+        """Training on windows drawn at random."""
+        x, goal = self.targets(ids, rows)
+        r = np.random.default_rng(self.seed)
+        self.learn(x, goal, ((r.integers(0, len(x), BATCH), step / (steps + 1)) for step in range(1, steps + 1)))
 
-        def error(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-            z -= z.max(-1, keepdims=True)
-            np.exp(z, out=z)
-            z /= z.sum(-1, keepdims=True)
-            z[np.arange(len(z)), at] -= 1
-            z /= len(z)
-            return z
-
-        for step in range(1, steps + 1):
-            pick = r.integers(0, len(x), BATCH)
-            own_x, at = x[pick], goal[pick]
-            use = at >= 0
-            state, (e, own, k, v, q, s, h, hidden) = self.forward(own_x)
-            source, target = own_x[:, CONTEXT:][use], self.target[ids[at[use]]]
-            group, used = target // MEMBERS, state[use]
-            z, y, order, cut = self.scores(used, source, group)
-            z, y = error(z, group), error(y, target[order] % MEMBERS)
-            grad = {"pair": np.zeros_like(p["pair"]), "member": np.zeros_like(p["member"]), "out": used.T @ z}
-            np.add.at(grad["pair"], source, z)
-            d, sorted_, inner = z @ p["out"].T, used[order], np.empty_like(used)
-            for j in range(GROUPS):
-                a, b = cut[j], cut[j + 1]
-                if b > a:
-                    grad["member"][j] = sorted_[a:b].T @ y[a:b]
-                    inner[a:b] = y[a:b] @ p["member"][j].T
-            d[order] += inner
-            dg = np.zeros_like(state)
-            dg[use] = d
-            dr = (dg @ p["w2"].T) * (hidden > 0)
-            grad["w2"], grad["w1"], grad["b1"] = np.einsum("btd,bte->de", hidden, dg), np.einsum("btd,bte->de", h, dr), dr.sum((0, 1))
-            dh = dg + dr @ p["w1"].T
-            ds = dh @ v.transpose(0, 2, 1)
-            dv = s.transpose(0, 2, 1) @ dh
-            ds = s * (ds - (ds * s).sum(-1, keepdims=True))
-            grad["pos"] = np.bincount(np.maximum(self._AGO, 0).ravel(), (ds.sum(0) * (self._AGO >= 0)).ravel(), WINDOW).astype(np.float32)
-            ds *= WIDTH**-0.5
-            dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-            grad["q"], grad["k"], grad["v"] = np.einsum("btd,bte->de", own, dq), np.einsum("btd,bte->de", e, dk), np.einsum("btd,bte->de", e, dv)
-            de = dk @ p["k"].T + dv @ p["v"].T
-            de[:, CONTEXT:] += dh + dq @ p["q"].T
-            grad["e"] = np.zeros_like(p["e"])
-            np.add.at(grad["e"], np.maximum(own_x, 0), de * (own_x >= 0)[:, :, None])
-            rate = 0.01 * min(1, 2 * (1 - step / (steps + 1)))
-            for name, d in grad.items():
+    def targets(self, ids: np.ndarray, rows: np.ndarray, lead: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs of all windows, and the classes they predict (-1 past the end)."""
+        x, goal = self.windows(ids, rows, lead)
+        return x.astype(np.int16), np.where(goal >= 0, self.target[ids[np.maximum(goal, 0)]] if len(ids) else 0, -1).astype(np.int16)
+
+    def learn(self, x: np.ndarray, goal: np.ndarray, picks) -> None:
+        """Adam on the cross-entropy of groups and of classes within the right group; `picks` gives each step's windows and how much of the training lies behind it."""
+        p = self.p
+        m = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
+        for step, (pick, done) in enumerate(picks, 1):
+            rate = 0.01 * min(1, 2 * (1 - done))
+            for name, d in self.gradient(x[pick], goal[pick]).items():
                 a, b = m[name]
-                a += 0.1 * (d - a)
-                b += 0.01 * (d * d - b)
-                p[name] -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
+                a += np.float32(0.1) * (d - a)
+                d *= d
+                b += np.float32(0.01) * (d - b)
+                p[name] -= np.float32(rate / (1 - 0.9**step)) * a / (np.sqrt(b * np.float32(1 / (1 - 0.99**step))) + np.float32(1e-8))
+        self.bound(*self.fixed()[:2])
+
+    def bound(self, near: np.ndarray, own: np.ndarray) -> None:
         norm = lambda x: float(np.sqrt((x * x).sum(1)).max())
-        self.largest = norm(p["e"] @ p["q"]) * norm(p["e"] @ p["k"]) * WIDTH**-0.5 + float(np.abs(p["pos"]).max())
+        self.largest = norm(own[:, :WIDTH]) * norm(near[:, :WIDTH]) + float(np.abs(self.p["pos"]).max())
+
+    def gradient(self, x: np.ndarray, goal: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean cross-entropy over the windows' places. Keys, values and queries depend on the input alone, so their gradients are gathered by input first."""
+        p, (near, own, bias) = self.p, self.fixed()
+        self.bound(near, own)
+        source = np.maximum(x, 0)
+        kv, qe = near.take(source, axis=0), own.take(source[:, CONTEXT:], axis=0)
+        keys, values, queries = kv[:, :, :WIDTH], kv[:, :, WIDTH:], qe[:, :, :WIDTH]
+        s = queries @ keys.transpose(0, 2, 1)
+        s += bias
+        if (x[:, 0] < 0).any():
+            s += np.where(x < 0, np.float32(-1e9), np.float32(0))[:, None, :]
+        if self.largest > 60:
+            s -= s.max(-1, keepdims=True)
+        np.exp(s, out=s)
+        mean = s @ values
+        parts = 1 / mean[:, :, WIDTH:]
+        mean = mean[:, :, :WIDTH] * parts
+        h = (mean + qe[:, :, WIDTH:]).reshape(-1, WIDTH)
+        r = h @ p["w1"]
+        r += p["b1"]
+        np.maximum(r, 0, out=r)
+        state = r @ p["w2"]
+        state += h
+
+        goal, last = goal.reshape(-1), source[:, CONTEXT:].reshape(-1)
+        use = slice(None) if (goal >= 0).all() else np.flatnonzero(goal >= 0)
+        used, target, before = state[use], goal[use], last[use]
+        group = target // MEMBERS
+        z, y, order, cut = self.scores(used, before, group)
+        for w, at in ((z, group), (y, target[order] % MEMBERS)):
+            if w.max(initial=0) > 60:
+                w -= w.max(-1, keepdims=True)
+            np.exp(w, out=w)
+            w *= (1 / (len(w) * (w @ np.ones(w.shape[1], np.float32))))[:, None]
+            w[np.arange(len(w)), at] -= np.float32(1 / len(w))
+        grad = {"out": used.T @ z, "pair": _by_row(before, z, CLASSES + 1), "member": np.zeros_like(p["member"])}
+        sorted_, inner = used[order], np.empty_like(used)
+        for j in range(GROUPS):
+            a, b = cut[j], cut[j + 1]
+            if b > a:
+                grad["member"][j] = sorted_[a:b].T @ y[a:b]
+                inner[a:b] = y[a:b] @ p["member"][j].T
+        d = z @ p["out"].T
+        d[order] += inner
+        dg = np.zeros_like(state)
+        dg[use] = d
+        dr = dg @ p["w2"].T
+        dr *= r > 0
+        grad["w2"], grad["w1"], grad["b1"] = r.T @ dg, h.T @ dr, dr.sum(0)
+        dh = (dg + dr @ p["w1"].T).reshape(mean.shape)
+        part = dh * parts
+        ds = part @ values[:, :, :WIDTH].transpose(0, 2, 1)
+        ds -= (part * mean).sum(-1, keepdims=True)
+        ds *= s
+        grad["pos"] = np.bincount(np.maximum(self._AGO, 0).ravel(), (ds.sum(0) * (self._AGO >= 0)).ravel(), WINDOW).astype(np.float32)
+        near = _by_row(source.reshape(-1), np.concatenate([ds.transpose(0, 2, 1) @ queries, s.transpose(0, 2, 1) @ part], axis=2).reshape(-1, 2 * WIDTH), CLASSES + 1)
+        own = _by_row(last, np.concatenate([ds @ keys, dh], axis=2).reshape(-1, 2 * WIDTH), CLASSES + 1)
+        dk, dv, dq = near[:, :WIDTH], near[:, WIDTH:], own[:, :WIDTH] * np.float32(WIDTH**-0.5)
+        grad["k"], grad["v"], grad["q"] = (p["e"].T @ x for x in (dk, dv, dq))
+        grad["e"] = dk @ p["k"].T + dv @ p["v"].T + dq @ p["q"].T + own[:, WIDTH:]
+        return grad
+
+    def learn_block(self, block: int, ids: np.ndarray, rows: np.ndarray, lead: np.ndarray, batch: int, least: int, begin: float, end: float) -> tuple[np.ndarray, int]:
+        """What a block's windows change in the weights, and their number. Each window is used once, or as often as `least` steps take."""
+        x, goal = self.targets(ids, rows, lead)
+        before, r = self.flat(), np.random.default_rng((self.seed, block))
+        parts = -(-len(x) // batch)
+        times = max(1, -(-least // max(parts, 1)))
+        picks = (pick for _ in range(times) for pick in np.array_split(r.permutation(len(x)), parts))
+        kept, self.p = self.p, {k: v.copy() for k, v in self.p.items()}
+        self.learn(x, goal, ((pick, begin + (end - begin) * (k + 1) / (parts * times + 1)) for k, pick in enumerate(picks)))
+        change, self.p = self.flat() - before, kept
+        return change, len(x)
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for _, v in sorted(self.p.items())]).astype(np.float64)
+
+    def change(self, by: np.ndarray) -> None:
+        at = 0
+        for k, v in sorted(self.p.items()):
+            self.p[k] = (v + by[at : at + v.size].reshape(v.shape)).astype(np.float32)
+            at += v.size
+        self.bound(*self.fixed()[:2])
 
 
 class HeavyWords:
@@ -344,34 +443,66 @@ def _batch_words(batch: pa.RecordBatch, column: int):
 _COUNTS = "bucket int, words binary, counts binary"
 
 
-def _count(shared, path: str, end_id: int, buckets: int, salts: int):
-    """Words' counts by bucket; and the tally of ids in pieces, whose rows have buckets below 0, `salts` of them for each piece."""
+def _count(path: str, end_id: int, vocabulary: int, buckets: int, blocks: int):
+    """Words' counts by bucket; the counts of pairs of ids, in buckets below 0; and the texts' ids by block, in buckets from `buckets` on."""
 
     def run(batches):
-        from pyspark import TaskContext
-
-        model, coder, tally = shared.value, tokenizer(path, "word"), None
+        coder, model = tokenizer(path, "word"), AttentionModel(vocabulary)
         for batch in batches:
-            parts, counts = [np.full(1, END_WORD)], [np.full(1, len(batch), np.int64)]
+            parts, counts, pairs, pair_counts, pieces = [np.full(1, END_WORD)], [np.full(1, len(batch), np.int64)], [], [], []
             for i, j, data, offsets in _batch_words(batch, 0):
                 words, n = np.unique(word_hashes(data, offsets)[0], return_counts=True)
                 parts.append(words)
                 counts.append(n)
-                own = model.tally(*with_end(*coder.encode(data, offsets), end_id))
-                tally = own if tally is None else np.add(tally, own, out=tally)
+                ids, rows = with_end(*coder.encode(data, offsets), end_id)
+                keys, n = np.unique(model.pairs(ids, rows), return_counts=True)
+                pairs.append(keys)
+                pair_counts.append(n)
+                pieces.append((ids.astype(_narrow(vocabulary)), *_pieces(rows, batch.column(1).slice(i, j - i).to_numpy().view(_U))))
             if len(batch):
-                words, n = _summed(np.concatenate(parts), np.concatenate(counts))
-                place = (mix(words) % _U(buckets)).astype(np.int64)
-                order = np.argsort(place, kind="stable")
-                cut = np.searchsorted(place[order], np.arange(buckets + 1))
-                yield _count_rows([(k, words[order[a:b]].tobytes(), n[order[a:b]].tobytes()) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a])
-        if tally is not None:
-            salt = TaskContext.get().partitionId() % salts
-            yield _count_rows([(-1 - (k // PIECE * salts + salt), None, tally[k : k + PIECE].tobytes()) for k in range(0, len(tally), PIECE) if tally[k : k + PIECE].any()])
+                yield _count_rows([*_by_bucket(parts, counts, buckets, lambda k: k), *_by_bucket(pairs, pair_counts, buckets, lambda k: -1 - k), *_by_block(pieces, buckets, blocks)])
 
     return run
 
 
+def _narrow(vocabulary: int):
+    return np.uint16 if vocabulary <= 1 << 16 else np.uint32
+
+
+def _by_bucket(keys: list[np.ndarray], counts: list[np.ndarray], buckets: int, name):
+    keys, n = _summed(np.concatenate(keys), np.concatenate(counts))
+    place = (mix(keys) % _U(buckets)).astype(np.int64)
+    order = np.argsort(place, kind="stable")
+    own, cut = np.unique(place[order], return_index=True)
+    for k, a, b in zip(own.tolist(), cut, [*cut[1:], len(order)], strict=True):
+        yield name(k), keys[order[a:b]].tobytes(), n[order[a:b]].tobytes()
+
+
+def _pieces(rows: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends, leads and names of pieces of at most TOGETHER ids, and what they look back at."""
+    n = np.diff(rows)
+    count = -(-n // TOGETHER)
+    row = np.repeat(np.arange(len(n)), count)
+    number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    lead = np.where(number > 0, LEAD, 0)
+    return rows[row] + number * TOGETHER - lead, np.minimum(rows[row] + (number + 1) * TOGETHER, rows[row + 1]), lead, mix(names[row] + number.astype(_U) * END_WORD)
+
+
+def _by_block(pieces: list[tuple], buckets: int, blocks: int):
+    """A row for each block: ids one piece after another, and names, lengths and leads of the pieces."""
+    base = np.cumsum([0, *(len(p[0]) for p in pieces)])[:-1]
+    ids = np.concatenate([p[0] for p in pieces])
+    starts, ends = (np.concatenate([p[k] + b for p, b in zip(pieces, base, strict=True)]) for k in (1, 2))
+    leads, names = (np.concatenate([p[k] for p in pieces]) for k in (3, 4))
+    block = (names % _U(blocks)).astype(np.int64)
+    order = np.argsort(block, kind="stable")
+    own, cut = np.unique(block[order], return_index=True)
+    for k, a, b in zip(own.tolist(), cut, [*cut[1:], len(order)], strict=True):
+        at = order[a:b]
+        size = ends[at] - starts[at]
+        yield buckets + k, ids[expand(starts[at], size)].tobytes(), np.stack([names[at].view(np.int64), size, leads[at]]).T.tobytes()
+
+
 def _count_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2))], ["bucket", "words", "counts"])
 
@@ -387,25 +518,71 @@ def _column(group: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in group.column(name) if x.is_valid)])
 
 
-def _added(columns) -> np.ndarray:
-    """The sum of packed arrays of counts, one at a time."""
-    total = np.zeros(0, np.int64)
-    for x in columns:
-        own = np.frombuffer(x.as_buffer(), np.int64)
-        total = total + own if len(total) else own.copy()
-    return total
+def _sum_bucket(buckets: int, narrow):
+    """One row for each bucket: the sums of its words or pairs, or a block's pieces in the order of their names."""
+
+    def run(group: pa.Table) -> pa.Table:
+        bucket = group.column("bucket").slice(0, 1)
+        if bucket[0].as_py() >= buckets:
+            ids, pieces = _column(group, "words", narrow), _column(group, "counts", np.int64).reshape(-1, 3)
+            order = np.argsort(pieces[:, 0], kind="stable")
+            starts = np.cumsum(pieces[:, 1]) - pieces[:, 1]
+            keys, counts, sums = ids[expand(starts[order], pieces[order, 1])], pieces[order, 1:], (None, None)
+        else:
+            keys, counts = _summed(_column(group, "words", _U), _column(group, "counts", np.int64))
+            sums = len(keys), int(counts.sum())
+        return pa.table([bucket, pa.array([keys.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary()), *(pa.array([x], pa.int64()) for x in sums)], ["bucket", "words", "counts", "kinds", "total"])
+
+    return run
+
+
+def _pair_pieces(shared, name: str):
+    """What the model's method `name` makes of the pairs, in pieces."""
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            for pairs, n in zip(batch.column(0), batch.column(1), strict=True):
+                own = getattr(shared.value, name)(np.frombuffer(pairs.as_buffer(), _U), np.frombuffer(n.as_buffer(), np.int64))
+                total = own if total is None else np.add(total, own, out=total)
+        if total is not None:
+            yield _piece_rows(total)
+
+    return run
+
+
+def _piece_rows(total: np.ndarray) -> pa.RecordBatch:
+    rows = [(k // PIECE, total[k : k + PIECE].tobytes()) for k in range(0, len(total), PIECE) if total[k : k + PIECE].any()]
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["piece", "counts"])
 
 
-def _sum_bucket(group: pa.Table) -> pa.Table:
-    bucket = group.column("bucket").slice(0, 1)
-    if bucket[0].as_py() < 0:
-        return pa.table([bucket, pa.nulls(1, pa.binary()), pa.array([_added(group.column("counts")).tobytes()], pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["bucket", "words", "counts", "kinds", "total"])
-    words, counts = _summed(_column(group, "words", _U), _column(group, "counts", np.int64))
-    return pa.table([bucket, pa.array([words.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary()), pa.array([len(words)]), pa.array([int(counts.sum())])], ["bucket", "words", "counts", "kinds", "total"])
+def _learn(shared, narrow, batch: int, least: int, begin: float, end: float):
+    """The changes that blocks make in the weights, times their windows, and the windows' number, as whole numbers in pieces."""
+
+    def run(batches):
+        total = None
+        for rows in batches:
+            for block, ids, pieces in zip(rows.column(0).to_pylist(), rows.column(1), rows.column(2), strict=True):
+                pieces = np.frombuffer(pieces.as_buffer(), np.int64).reshape(-1, 2)
+                change, n = shared.value.learn_block(block, np.frombuffer(ids.as_buffer(), narrow), np.append(0, np.cumsum(pieces[:, 0])), pieces[:, 1], batch, least, begin, end)
+                own = np.append(np.rint(change * UNIT).astype(np.int64) * n, n)
+                total = own if total is None else total + own
+        if total is not None:
+            yield _piece_rows(total)
+
+    return run
+
+
+def _all_pieces(parts: DataFrame, size: int, key=None) -> np.ndarray:
+    """The sum of all tasks' arrays; pieces are added up in tasks of their own."""
+    total = np.zeros(size, np.int64)
+    for k, x in parts.repartition("piece").mapInArrow(lean(_sum_pieces, key), "piece int, counts binary").collect():
+        total[k * PIECE : (k + 1) * PIECE] = np.frombuffer(x, np.int64)
+    return total
 
 
 def _sum_pieces(batches):
-    """One array for each piece, from the arrays of its salts; a task holds its own pieces only."""
+    """One array for each piece; a task holds its own pieces only."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -524,17 +701,43 @@ def _finish(total: int, kinds: int):
     return run
 
 
-def sample(docs: DataFrame, learn, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray, int]:
-    """Ids, rows and training steps from texts where `learn` holds, chosen by a hash of the id; of a text at
-    most SAMPLE_CHARS characters from a place that its hash names. Equal pieces count once."""
+def train(counts: DataFrame, vocabulary: int, buckets: int, blocks: int, key=None, seed: int = 2) -> AttentionModel:
+    """A model of all texts behind `counts`, the table that `gathered` gives; `learnt` is the number of their windows. Workers keep what has this key."""
+    context, model = counts.sparkSession.sparkContext, AttentionModel(vocabulary, seed)
+
+    def added(rows: DataFrame, run, size: int) -> np.ndarray:
+        shared = context.broadcast(model)
+        total = _all_pieces(rows.mapInArrow(lean(run(shared), key), "piece int, counts binary"), size, key)
+        shared.destroy()
+        return total
+
+    pairs = counts.where("bucket < 0").select("words", "counts")
+    of_pairs = lambda name, size: added(pairs, lambda shared: _pair_pieces(shared, name), size)
+    model.rank(of_pairs("counts", vocabulary))
+    model.gather(of_pairs("around", len(model.rest) * 2 * (NEIGHBOURS + 1)))
+    model.prepare(model.group(of_pairs("beside", (CLASSES + 1) * CLASSES)))
+    batch = int(np.clip(model.count.sum() // (STRIDE * STEPS), BATCH, LARGE_BATCH))
+    rounds = min(ROUNDS, blocks)
+    model.learnt, size = 0, len(model.flat())
+    for k in range(rounds):
+        block = F.col("bucket") - buckets
+        rows = counts.where((block >= 0) & (block % rounds == k)).select(block.alias("block"), "words", "counts")
+        total = added(rows, lambda shared, k=k: _learn(shared, _narrow(vocabulary), batch, -(-STEPS // rounds), k / rounds, (k + 1) / rounds), size + 1)
+        model.learnt += int(total[-1])
+        if total[-1]:
+            model.change(total[:-1] / (float(total[-1]) * UNIT))
+    return model
+
+
+def gathered(docs: DataFrame, learn, path: str, end_id: int, vocabulary: int) -> tuple[DataFrame, int, int]:
+    """What `train` and the look-ups take from all rows of (doc_id, text) where `learn` holds, with its numbers of buckets and blocks."""
+    key = tokenizer_key(path, "word")  # its memory stays for the second pass over the texts
+    buckets = sized(docs, "text", BUCKET_BYTES, 2)
     rows = docs.where(learn)
-    n = rows.count()
-    growth = max(1.0, n / SAMPLE_FROM) ** 0.25
-    share = min(1.0, SAMPLE_DOCS * growth / max(n, 1))
-    picked = rows.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < share * (1 << 30)).select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    start = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1).cast("int") + 1
-    texts = sorted({r[0] for r in picked.select(F.substr("text", start, F.lit(SAMPLE_CHARS))).collect()}) or [""]
-    return *with_end(*tokenizer(path, "word").encode(*text_buffer(pa.array(texts, pa.large_string()))), end_id), round(STEPS * growth)
+    blocks = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES))
+    counted = rows.select("text", F.xxhash64("doc_id", "text").alias("name")).mapInArrow(_count(path, end_id, vocabulary, buckets, blocks), _COUNTS)
+    summed = counted.groupBy("bucket").applyInArrow(lean_group(_sum_bucket(buckets, _narrow(vocabulary)), key), f"{_COUNTS}, kinds long, total long")
+    return spill(summed, "word-counts"), buckets, blocks
 
 
 def score(docs: DataFrame, learn, path: str, end_id: int, vocabulary: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -546,23 +749,11 @@ def score(docs: DataFrame, learn, path: str, end_id: int, vocabulary: int, id_co
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    context = docs.sparkSession.sparkContext
-    ids, rows, steps = sample(docs, learn, path, end_id)
-    model = AttentionModel(vocabulary)
-    model.arrange(ids)
-    buckets = sized(docs, "text", BUCKET_BYTES, 2)
-    salts = 1 + buckets // 32
-    key = tokenizer_key(path, "word")  # its memory stays for the second pass over the texts
-    counted = docs.where(learn).select("text").mapInArrow(_count(context.broadcast(model), path, end_id, buckets, salts), _COUNTS)
-    counts = spill(counted.groupBy("bucket").applyInArrow(lean_group(_sum_bucket, key), f"{_COUNTS}, kinds long, total long"), "word-counts")
-    pieces = counts.where("bucket < 0").select(F.expr(f"cast((-1 - bucket) div {salts} as int)").alias("piece"), "counts").repartition("piece").mapInArrow(lean(_sum_pieces, key), "piece int, counts binary").collect()
-    tally = np.zeros((CLASSES + 1) * CLASSES + vocabulary, np.int64)
-    for k, x in pieces:
-        tally[k * PIECE : (k + 1) * PIECE] = np.frombuffer(x, np.int64)
-    model.prepare(tally)
-    model.fit(ids, rows, steps)
-
-    counts = counts.where("bucket >= 0")
+    context, key = docs.sparkSession.sparkContext, tokenizer_key(path, "word")
+    counts, buckets, blocks = gathered(docs, learn, path, end_id, vocabulary)
+    model = train(counts, vocabulary, buckets, blocks, key)
+
+    counts = counts.where((F.col("bucket") >= 0) & (F.col("bucket") < buckets))
     sums = counts.agg(F.sum("kinds").alias("kinds"), F.sum("total").alias("total")).first()
     kinds, total = sums.kinds or 0, sums.total or 0
     least = max(2, -(-total // HEAVY))  # so many words at most are as frequent
