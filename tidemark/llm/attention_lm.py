@@ -377,12 +377,11 @@ class AttentionModel:
         grad["e"] = dk @ p["k"].T + dv @ p["v"].T + dq @ p["q"].T + own[:, WIDTH:]
         return grad
 
-    def learn_block(self, block: int, ids: np.ndarray, rows: np.ndarray, lead: np.ndarray, batch: int, least: int, begin: float, end: float) -> tuple[np.ndarray, int]:
-        """What a block's windows change in the weights, and their number. Each window is used once, or as often as `least` steps take."""
+    def learn_block(self, block: int, ids: np.ndarray, rows: np.ndarray, lead: np.ndarray, batch: int, times: int, begin: float, end: float) -> tuple[np.ndarray, int]:
+        """What a block's windows change in the weights, and their number. Each window is used `times` times."""
         x, goal = self.targets(ids, rows, lead)
         before, r = self.flat(), np.random.default_rng((self.seed, block))
         parts = -(-len(x) // batch)
-        times = max(1, -(-least // max(parts, 1)))
         picks = (pick for _ in range(times) for pick in np.array_split(r.permutation(len(x)), parts))
         kept, self.p = self.p, {k: v.copy() for k, v in self.p.items()}
         self.learn(x, goal, ((pick, begin + (end - begin) * (k + 1) / (parts * times + 1)) for k, pick in enumerate(picks)))
@@ -556,7 +555,7 @@ def _piece_rows(total: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["piece", "counts"])
 
 
-def _learn(shared, narrow, batch: int, least: int, begin: float, end: float):
+def _learn(shared, narrow, batch: int, times: int, begin: float, end: float):
     """The changes that blocks make in the weights, times their windows, and the windows' number, as whole numbers in pieces."""
 
     def run(batches):
@@ -564,7 +563,7 @@ def _learn(shared, narrow, batch: int, least: int, begin: float, end: float):
         for rows in batches:
             for block, ids, pieces in zip(rows.column(0).to_pylist(), rows.column(1), rows.column(2), strict=True):
                 pieces = np.frombuffer(pieces.as_buffer(), np.int64).reshape(-1, 2)
-                change, n = shared.value.learn_block(block, np.frombuffer(ids.as_buffer(), narrow), np.append(0, np.cumsum(pieces[:, 0])), pieces[:, 1], batch, least, begin, end)
+                change, n = shared.value.learn_block(block, np.frombuffer(ids.as_buffer(), narrow), np.append(0, np.cumsum(pieces[:, 0])), pieces[:, 1], batch, times, begin, end)
                 own = np.append(np.rint(change * UNIT).astype(np.int64) * n, n)
                 total = own if total is None else total + own
         if total is not None:
@@ -717,12 +716,13 @@ def train(counts: DataFrame, vocabulary: int, buckets: int, blocks: int, key=Non
     model.gather(of_pairs("around", len(model.rest) * 2 * (NEIGHBOURS + 1)))
     model.prepare(model.group(of_pairs("beside", (CLASSES + 1) * CLASSES)))
     batch = int(np.clip(model.count.sum() // (STRIDE * STEPS), BATCH, LARGE_BATCH))
+    times = max(1, -(-STEPS * BATCH * STRIDE // max(int(model.count.sum()), 1)))
     rounds = min(ROUNDS, blocks)
     model.learnt, size = 0, len(model.flat())
     for k in range(rounds):
         block = F.col("bucket") - buckets
         rows = counts.where((block >= 0) & (block % rounds == k)).select(block.alias("block"), "words", "counts")
-        total = added(rows, lambda shared, k=k: _learn(shared, _narrow(vocabulary), batch, -(-STEPS // rounds), k / rounds, (k + 1) / rounds), size + 1)
+        total = added(rows, lambda shared, k=k: _learn(shared, _narrow(vocabulary), batch, times, k / rounds, (k + 1) / rounds), size + 1)
         model.learnt += int(total[-1])
         if total[-1]:
             model.change(total[:-1] / (float(total[-1]) * UNIT))
