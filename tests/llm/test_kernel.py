@@ -73,3 +73,26 @@ def test_parts_of_words_are_exact(control):
     ids, rows = k.MemoTokenizer(path, "word").encode(*k.text_buffer(pa.array(texts)))
     found = [ids[a:b].tolist() for a, b in zip(rows[:-1], rows[1:], strict=True)]
     assert found == [e.ids for e in Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def test_segments_of_one_place_are_all_kept():
+    """Before, each segment had one place, and two of the same place were computed anew in every block."""
+
+    class Lengths(k.Memo):
+        SLOTS, computed = 1 << 12, 0
+
+        def compute(self, texts):
+            self.computed += len(texts)
+            return [[len(x)] for x in texts]
+
+    memo, words = Lengths(), [f"w{i}" * (1 + i % 3) for i in range(300)]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    starts = np.append(0, ends[:-1])
+    places = k.span_hashes(data, starts, ends, k.SAME) & np.uint64(memo.SLOTS - 1)
+    assert len(set(places.tolist())) < len(words)
+    for _ in range(6):
+        before = memo.computed
+        entry = memo.entries(data, starts, ends)
+        assert memo.ids[memo.first[entry]].tolist() == [len(w) for w in words]
+    assert memo.computed == before

@@ -75,11 +75,30 @@ def _bins(places: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     return total
 
 
-def _by_row(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the values' rows."""
-    width = values.shape[1]
-    flat = (rows.astype(np.int64) * width)[:, None] + np.arange(width)
-    return np.bincount(flat.ravel(), values.ravel(), size * width).reshape(size, width).astype(np.float32)
+_PLACES: dict[int, np.ndarray] = {}
+
+
+def _places(rows: np.ndarray, width: int) -> np.ndarray:
+    """Where the values of the rows, inputs, stand in a flat array of that many columns."""
+    if width not in _PLACES:
+        _PLACES[width] = np.arange((CLASSES + 1) * width).reshape(-1, width)
+    return _PLACES[width].take(rows, axis=0).ravel()
+
+
+def _by_row(places: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the values' rows, whose `_places` are given."""
+    width = values.shape[-1]
+    return np.bincount(places, values.ravel(), size * width).reshape(size, width).astype(np.float32)
+
+
+def _below(x: np.ndarray, row: np.ndarray | float = 0) -> np.ndarray:
+    """`x` with a row more, for the 1 at the end of each state."""
+    return np.concatenate([x, np.broadcast_to(np.float32(row), (*x.shape[:-2], 1, x.shape[-1]))], axis=-2)
+
+
+def _beside(x: np.ndarray, value: float = 0) -> np.ndarray:
+    """`x` with a column more."""
+    return np.concatenate([x, np.full((len(x), 1), value, np.float32)], axis=1)
 
 
 class AttentionModel:
@@ -218,48 +237,47 @@ class AttentionModel:
 
     _AGO = CONTEXT + np.arange(STRIDE)[:, None] - np.arange(WINDOW)[None, :]
 
-    def scores(self, state: np.ndarray, source: np.ndarray, group: np.ndarray):
-        """Scores of all groups, and of the classes of the given group in ascending order of it: their order and each group's range."""
-        z = state @ self.p["out"]
-        z += self.p["pair"][source]
+    def scores(self, state: np.ndarray, source: np.ndarray, group: np.ndarray, out: np.ndarray, members: np.ndarray):
+        """Scores of all groups, and of the classes of the given group in ascending order of it: their order, the states in it and each group's range."""
+        z = state @ out
+        z += self.p["pair"].take(source, axis=0)
         order = np.argsort(group, kind="stable")
         cut = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        sorted_, y = state[order], self.inner[source[order], group[order]]
-        for k in range(GROUPS):
-            a, b = cut[k], cut[k + 1]
-            if b > a:
-                y[a:b] += sorted_[a:b] @ self.p["member"][k]
-        return z, y, order, cut
+        sorted_, y = state.take(order, axis=0), np.empty_like(z)
+        for k in np.flatnonzero(np.diff(cut)):
+            np.matmul(sorted_[cut[k] : cut[k + 1]], members[k], out=y[cut[k] : cut[k + 1]])
+        y += self.inner.reshape(-1, MEMBERS).take((source.astype(np.int64) * GROUPS + group)[order], axis=0)
+        return z, y, order, sorted_, cut
 
     def fixed(self) -> tuple[np.ndarray, ...]:
-        """Tables for scoring: keys and values with a 1 for the sum of weights, queries and embeddings, and each place's bias."""
+        """Tables by input: keys, queries, values with a 1 for the sum of weights, and embeddings with a 0; and each place's bias."""
         p = self.p
-        near = np.concatenate([p["e"] @ p["k"], p["e"] @ p["v"], np.ones((CLASSES + 1, 1), np.float32)], axis=1)
-        own = np.concatenate([p["e"] @ p["q"] * np.float32(WIDTH**-0.5), p["e"]], axis=1)
-        return near, own, np.where(self._AGO >= 0, p["pos"][np.maximum(self._AGO, 0)], np.float32(-1e9))
-
-    def states(self, x: np.ndarray, tables: tuple[np.ndarray, ...]) -> np.ndarray:
-        """The state from which each place's class is predicted, from the tables."""
-        p, (near, own, bias) = self.p, tables
-        kv, qe = near[np.maximum(x, 0)], own[x[:, CONTEXT:]]
-        s = qe[:, :, :WIDTH] @ kv[:, :, :WIDTH].transpose(0, 2, 1)
+        bias = np.where(self._AGO >= 0, p["pos"][np.maximum(self._AGO, 0)], np.float32(-1e9))
+        return p["e"] @ p["k"], p["e"] @ p["q"] * np.float32(WIDTH**-0.5), _beside(p["e"] @ p["v"], 1), _beside(p["e"]), bias
+
+    def attend(self, x: np.ndarray, tables: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        """Keys, queries and values of the windows, the weights of attention, 1 by their sums, the means of values and the sums with embeddings, both with a 1 at the end."""
+        keys, queries, values, embedded, bias = tables
+        source = np.maximum(x, 0)
+        k, v, q = keys.take(source, axis=0), values.take(source, axis=0), queries.take(source[:, CONTEXT:], axis=0)
+        s = q @ k.transpose(0, 2, 1)
         s += bias
-        if (x[:, 0] < 0).any():
-            s += np.where(x < 0, np.float32(-1e9), np.float32(0))[:, None, :]
+        if len(first := np.flatnonzero(x[:, 0] < 0)):
+            s[first] += np.where(x[first] < 0, np.float32(-1e9), np.float32(0))[:, None, :]
         if self.largest is None or self.largest > 60:
             s -= s.max(-1, keepdims=True)
         np.exp(s, out=s)
-        mean = (s @ kv[:, :, WIDTH:]).reshape(-1, WIDTH + 1)
-        h = mean[:, :WIDTH]
-        h /= mean[:, WIDTH:]
-        h += qe[:, :, WIDTH:].reshape(-1, WIDTH)
-        r = h @ p["w1"]
-        r += p["b1"]
-        np.maximum(r, 0, out=r)
-        h += r @ p["w2"]
-        return h
-
-    def log_chances(self, ids: np.ndarray, rows: np.ndarray, batch: int = 96) -> np.ndarray:
+        mean = (s @ v).reshape(-1, WIDTH + 1)
+        parts = 1 / mean[:, WIDTH:]
+        mean *= parts
+        return k, q, v, s, parts, mean, mean + embedded.take(source[:, CONTEXT:].ravel(), axis=0)
+
+    def layers(self) -> tuple[np.ndarray, ...]:
+        """Weights between states that end with a 1: to the hidden layer and back, to groups, and to each group's classes."""
+        p = self.p
+        return _below(p["w1"], p["b1"]), _beside(p["w2"]), _below(p["out"]), _below(p["member"])
+
+    def log_chances(self, ids: np.ndarray, rows: np.ndarray, batch: int = 128) -> np.ndarray:
         """The natural logarithm of each id's chance, given what stands before it."""
         ones = {n: np.ones(n, np.float32) for n in (GROUPS, MEMBERS)}
 
@@ -271,20 +289,20 @@ class AttentionModel:
             return own - np.log(z @ ones[z.shape[1]])
 
         x, goal = self.windows(ids, rows)
-        out = np.zeros(len(ids), np.float32)
-        tables = self.fixed()
+        out = np.zeros(len(ids) + 1, np.float32)  # places past a text's end, -1, fall behind the last
+        classes, tables, (w1, w2, *last) = self.target[ids], self.fixed(), self.layers()
         for a in range(0, len(x), batch):
             own = x[a : a + batch]
-            state, source, at = self.states(own, tables), own[:, CONTEXT:].reshape(-1), goal[a : a + batch].reshape(-1)
-            if (use := at >= 0).all():
-                use = slice(None)
-            at, state, source = at[use], state[use], source[use]
-            target = self.target[ids[at]]
+            state = self.attend(own, tables)[-1]
+            r = state @ w1
+            state += np.maximum(r, 0, out=r) @ w2
+            at = goal[a : a + batch].reshape(-1)
+            target = classes[at]
             group = target // MEMBERS
-            z, y, order, _ = self.scores(state, source, group)
+            z, y, order, _, _ = self.scores(state, own[:, CONTEXT:].reshape(-1), group, *last)
             out[at] = picked(z, group)
             out[at[order]] += picked(y, target[order] % MEMBERS)
-        return out + self.share[ids]
+        return out[:-1] + self.share[ids]
 
     def fit(self, ids: np.ndarray, rows: np.ndarray, steps: int) -> None:
         """Training on windows drawn at random."""
@@ -311,67 +329,59 @@ class AttentionModel:
                 p[name] -= np.float32(rate / (1 - 0.9**step)) * a / (np.sqrt(b * np.float32(1 / (1 - 0.99**step))) + np.float32(1e-8))
         self.bound(*self.fixed()[:2])
 
-    def bound(self, near: np.ndarray, own: np.ndarray) -> None:
+    def bound(self, keys: np.ndarray, queries: np.ndarray) -> None:
         norm = lambda x: float(np.sqrt((x * x).sum(1)).max())
-        self.largest = norm(own[:, :WIDTH]) * norm(near[:, :WIDTH]) + float(np.abs(self.p["pos"]).max())
+        self.largest = norm(keys) * norm(queries) + float(np.abs(self.p["pos"]).max())
 
     def gradient(self, x: np.ndarray, goal: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross-entropy over the windows' places. Keys, values and queries depend on the input alone, so their gradients are gathered by input first."""
-        p, (near, own, bias) = self.p, self.fixed()
-        self.bound(near, own)
-        source = np.maximum(x, 0)
-        kv, qe = near.take(source, axis=0), own.take(source[:, CONTEXT:], axis=0)
-        keys, values, queries = kv[:, :, :WIDTH], kv[:, :, WIDTH:], qe[:, :, :WIDTH]
-        s = queries @ keys.transpose(0, 2, 1)
-        s += bias
-        if (x[:, 0] < 0).any():
-            s += np.where(x < 0, np.float32(-1e9), np.float32(0))[:, None, :]
-        if self.largest > 60:
-            s -= s.max(-1, keepdims=True)
-        np.exp(s, out=s)
-        mean = s @ values
-        parts = 1 / mean[:, :, WIDTH:]
-        mean = mean[:, :, :WIDTH] * parts
-        h = (mean + qe[:, :, WIDTH:]).reshape(-1, WIDTH)
-        r = h @ p["w1"]
-        r += p["b1"]
-        np.maximum(r, 0, out=r)
-        state = r @ p["w2"]
+        p, tables = self.p, self.fixed()
+        self.bound(*tables[:2])
+        keys, queries, values, s, parts, mean, h = self.attend(x, tables)
+        w1, w2, out, members = self.layers()
+        r = h @ w1
+        state = np.maximum(r, 0, out=r) @ w2
         state += h
 
-        goal, last = goal.reshape(-1), source[:, CONTEXT:].reshape(-1)
-        use = slice(None) if (goal >= 0).all() else np.flatnonzero(goal >= 0)
-        used, target, before = state[use], goal[use], last[use]
+        goal, source = goal.reshape(-1), np.maximum(x, 0)
+        used, last = goal >= 0, source[:, CONTEXT:].reshape(-1)
+        target, weight = np.where(used, goal, 0), used * np.float32(1 / used.sum())  # places past the end weigh nothing
         group = target // MEMBERS
-        z, y, order, cut = self.scores(used, before, group)
-        for w, at in ((z, group), (y, target[order] % MEMBERS)):
+        z, y, order, sorted_, cut = self.scores(state, last, group, out, members)
+        for w, at, own in ((z, group, weight), (y, target[order] % MEMBERS, weight[order])):
             if w.max(initial=0) > 60:
                 w -= w.max(-1, keepdims=True)
             np.exp(w, out=w)
-            w *= (1 / (len(w) * (w @ np.ones(w.shape[1], np.float32))))[:, None]
-            w[np.arange(len(w)), at] -= np.float32(1 / len(w))
-        grad = {"out": used.T @ z, "pair": _by_row(before, z, CLASSES + 1), "member": np.zeros_like(p["member"])}
-        sorted_, inner = used[order], np.empty_like(used)
-        for j in range(GROUPS):
+            w *= (own / (w @ np.ones(w.shape[1], np.float32)))[:, None]
+            w[np.arange(len(w)), at] -= own
+        by_group = _places(last, GROUPS)
+        by_pair = by_group if GROUPS == 2 * WIDTH else _places(last, 2 * WIDTH)
+        grad = {"out": (state.T @ z)[:WIDTH], "pair": _by_row(by_group, z, CLASSES + 1), "member": np.zeros_like(p["member"])}
+        inner, back = np.empty_like(state), np.empty_like(order)
+        for j in np.flatnonzero(np.diff(cut)):
             a, b = cut[j], cut[j + 1]
-            if b > a:
-                grad["member"][j] = sorted_[a:b].T @ y[a:b]
-                inner[a:b] = y[a:b] @ p["member"][j].T
-        d = z @ p["out"].T
-        d[order] += inner
-        dg = np.zeros_like(state)
-        dg[use] = d
-        dr = dg @ p["w2"].T
+            grad["member"][j] = (sorted_[a:b].T @ y[a:b])[:WIDTH]
+            np.matmul(y[a:b], members[j].T, out=inner[a:b])
+        back[order] = np.arange(len(order))
+        d = z @ out.T
+        d += inner.take(back, axis=0)
+        dr = d @ w2.T
         dr *= r > 0
-        grad["w2"], grad["w1"], grad["b1"] = r.T @ dg, h.T @ dr, dr.sum(0)
-        dh = (dg + dr @ p["w1"].T).reshape(mean.shape)
-        part = dh * parts
-        ds = part @ values[:, :, :WIDTH].transpose(0, 2, 1)
-        ds -= (part * mean).sum(-1, keepdims=True)
+        d1 = h.T @ dr
+        grad["w2"], grad["w1"], grad["b1"] = (r.T @ d)[:, :WIDTH], d1[:WIDTH], d1[WIDTH]
+        d += dr @ _below(p["w1"]).T
+        part = d * parts
+        part[:, WIDTH] = -np.einsum("ij,ij->i", part, mean)
+        part = part.reshape(len(x), STRIDE, WIDTH + 1)
+        ds = part @ values.transpose(0, 2, 1)
         ds *= s
         grad["pos"] = np.bincount(np.maximum(self._AGO, 0).ravel(), (ds.sum(0) * (self._AGO >= 0)).ravel(), WINDOW).astype(np.float32)
-        near = _by_row(source.reshape(-1), np.concatenate([ds.transpose(0, 2, 1) @ queries, s.transpose(0, 2, 1) @ part], axis=2).reshape(-1, 2 * WIDTH), CLASSES + 1)
-        own = _by_row(last, np.concatenate([ds @ keys, dh], axis=2).reshape(-1, 2 * WIDTH), CLASSES + 1)
+        near, own = np.empty((len(x), WINDOW, 2 * WIDTH), np.float32), np.empty((len(x), STRIDE, 2 * WIDTH), np.float32)
+        np.matmul(ds.transpose(0, 2, 1), queries, out=near[:, :, :WIDTH])
+        np.matmul(s.transpose(0, 2, 1), part[:, :, :WIDTH], out=near[:, :, WIDTH:])
+        np.matmul(ds, keys, out=own[:, :, :WIDTH])
+        own.reshape(-1, 2 * WIDTH)[:, WIDTH:] = d[:, :WIDTH]
+        near, own = _by_row(_places(source.reshape(-1), 2 * WIDTH), near, CLASSES + 1), _by_row(by_pair, own, CLASSES + 1)
         dk, dv, dq = near[:, :WIDTH], near[:, WIDTH:], own[:, :WIDTH] * np.float32(WIDTH**-0.5)
         grad["k"], grad["v"], grad["q"] = (p["e"].T @ x for x in (dk, dv, dq))
         grad["e"] = dk @ p["k"].T + dv @ p["v"].T + dq @ p["q"].T + own[:, WIDTH:]

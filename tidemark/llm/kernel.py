@@ -161,7 +161,8 @@ def rows_of(rows: np.ndarray) -> np.ndarray:
 class Memo:
     """Values of text segments, each computed once; a segment's value is a run of unsigned integers.
 
-    Segments are told apart by a 64-bit hash. At `capacity` kept segments the memory starts anew.
+    Segments are told apart by a 64-bit hash, and each has two places where it may be kept. At
+    `capacity` kept segments the memory starts anew.
     """
 
     SLOTS = 1 << 22
@@ -177,14 +178,23 @@ class Memo:
     def compute(self, texts: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
+    def _places(self, keys: np.ndarray, shift: int) -> np.ndarray:
+        return (keys >> _U(shift) & _U(self.SLOTS - 1)).astype(np.int64)
+
+    def _held(self, keys: np.ndarray, shift: int) -> np.ndarray:
+        place = self._places(keys, shift)
+        return np.where(self.keys[place] == keys, self.slot[place], -1).astype(np.int64)
+
     def entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The segments' places in `first` and `size`, valid until the next call."""
         if len(self.first) > self.capacity:
             self.clear()
         keys = span_hashes(data, starts, ends, self.fold)
-        place = (keys & _U(self.SLOTS - 1)).astype(np.int64)
-        entry = np.where(self.keys[place] == keys, self.slot[place], -1).astype(np.int64)
+        entry = self._held(keys, 0)
         missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            entry[missing] = self._held(keys[missing], 40)
+            missing = missing[entry[missing] < 0]
         if len(missing):
             new, at, back = np.unique(keys[missing], return_index=True, return_inverse=True)
             raw = self.fold[data].tobytes() if self.fold is not SAME else data.tobytes()
@@ -196,7 +206,8 @@ class Memo:
             self.first = np.concatenate([self.first, (len(self.ids) + np.cumsum(size) - size).astype(np.int32)])
             self.size, self.ids = np.concatenate([self.size, size.astype(np.int32)]), np.concatenate([self.ids, flat])
             entry[missing] = base + back
-            where, one = np.unique((new & _U(self.SLOTS - 1)).astype(np.int64), return_index=True)  # of two new keys of one place one stays
+            first = self._places(new, 0)
+            where, one = np.unique(np.where(self.slot[first] < 0, first, self._places(new, 40)), return_index=True)  # of two new keys of one place one stays
             self.keys[where], self.slot[where] = new[one], base + one
         return entry
 
